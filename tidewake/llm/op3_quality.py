@@ -103,7 +103,10 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
     d = d.select(*rest, places.alias("_places"))
     gaps = F.zip_with(F.slice("_places", F.lit(2), F.size("_places")), F.slice("_places", F.lit(1), F.size("_places") - 1), lambda x, y: F.least(x - y, F.lit(3)))
     covered = F.when(F.size("_places") >= 2, F.aggregate(gaps, F.lit(3), lambda a, x: a + x))
-    return d.select(*rest, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    d = d.select(*rest, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    # One struct in an array, taken out again: a filter on a feature stops here.  Pushed further
+    # down it would take all steps above with it, each once for every time that it is named.
+    return d.select(F.explode_outer(F.array(F.struct("*"))).alias("_f")).select("_f.*")
 
 
 def judge(docs: DataFrame, keep: list[str] = ["doc_id"], rules: tuple[Rule, ...] = RULES) -> DataFrame:  # noqa: B006
