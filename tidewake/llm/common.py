@@ -6,14 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_SCRATCH: dict[str, str] = {}
 
-#: Most characters that a Python worker holds of the texts at once (a longer text is one block).
-BLOCK_CHARS = 2_000_000
+#: Most bytes of texts that a Python worker handles at once (a longer text is one block).
+BLOCK_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,17 +66,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of consecutive rows with at most ``limit`` characters together; null is empty."""
-    texts = [t or "" for t in batch.column(column).to_pylist()]
-    first, chars = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and chars + len(t) > limit:
-            yield first, texts[first:i]
-            first, chars = i, 0
-        chars += len(t)
-    if first < len(texts):
-        yield first, texts[first:]
+def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of consecutive rows with at most ``limit`` bytes together; null is empty.
+
+    Only one block's rows are Python strings at a time.
+    """
+    own = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(own):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield first, [t or "" for t in own.slice(first, last - first).to_pylist()]
+        first = last
 
 
 def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:

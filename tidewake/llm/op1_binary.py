@@ -7,7 +7,8 @@ committer) of blocks in ascending document order::
     block int         number of the block in its part
     start long        ids before the block in its part
     doc_ids, n_tokens the documents of the block and their numbers of ids
-    control binary    two bits per id: its code's bytes less one, four ids to a byte, low bits first
+    control binary    two bits per id: its code's bytes less one, four ids to a byte, low bits first;
+                      every document begins a new byte
     data binary       the codes' bytes, little-endian, without gaps
 
 A code is the id's rank by falling frequency (ties: lower id first) over the whole corpus;
@@ -25,37 +26,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import blocks, drop_path, scratch_path, shuffle_partitions, stage
-from tidewake.llm.tokens import Encoder, byte_level_pieces
+from tidewake.llm.tokens import BYTE_LEVEL, Encoder
 
 #: Ids that make a block full; a block has whole documents, one at least.
 BLOCK_IDS = 1 << 16
 
-#: For each control byte the four lengths, and their sum.
+#: For each control byte the lengths of its four codes.
 LENGTHS = (((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3) + 1).astype(np.uint8)
 
 
-def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of an array of ranks under 2**32."""
-    r = ranks.astype(np.uint32)
+def encode_ids(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """(control, data) of one document's ranks, each under 2**32."""
+    r = ranks.astype("<u4")
     extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
     padded = np.zeros(-(-len(r) // 4) * 4, np.uint8)
     padded[: len(r)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    kept = np.arange(4)[None, :] <= extra[:, None]
-    return control.tobytes(), r.astype("<u4").view(np.uint8).reshape(-1, 4)[kept].tobytes()
-
-
-def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks: code lengths come from a table lookup by control byte."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n].astype(np.int64)
-    ends = np.cumsum(lengths)
+    four = padded.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    kept = np.arange(4, dtype=np.uint8)[None, :] <= extra[:, None]
+    return control.tobytes(), r.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+
+
+def decode_block(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
+    """The ranks of documents with ``n`` ids each: code lengths come from a table lookup by control byte."""
+    held = -(-n // 4)
+    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
+    spare = 4 * held - n
+    if spare.any():  # a document's last control byte may have places without a code
+        ends = 4 * np.cumsum(held)
+        used = np.ones(len(lengths), np.bool_)
+        for k in (1, 2, 3):
+            used[ends[spare >= k] - k] = False
+        lengths = lengths[used]
+    ends = np.cumsum(lengths, dtype=np.int64)
     at = ends - lengths
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = raw[at].astype(np.uint32)
+    out = raw[at].astype("<u4")
     for k in (1, 2, 3):
         longer = np.flatnonzero(lengths > k)
         if len(longer):
-            out[longer] |= raw[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+            out[longer] |= raw[at[longer] + k].astype("<u4") << np.uint32(8 * k)
     return out
 
 
@@ -63,7 +73,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     tail = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer, byte_level_pieces)
+        enc = Encoder(tokenizer, BYTE_LEVEL)
         for batch in batches:
             ids = batch.column("doc_id")
             for first, texts in blocks(batch, "text"):
@@ -93,8 +103,8 @@ def _frequencies(tokens: DataFrame) -> list[tuple[int, int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for held in batch.column("ids").to_pylist():
-                n = np.bincount(_wide(held))
+            for k in range(0, batch.num_rows, 256):
+                n = np.bincount(np.concatenate([_wide(x) for x in batch.column("ids").slice(k, 256).to_pylist()]))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
@@ -126,11 +136,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_, coded_, part = batch.column("doc_id").to_pylist(), [], []
-            for d, held in zip(docs_, batch.column("ids").to_pylist()):
-                c, x = encode_block(rank_of[_wide(held)])
-                coded_.append((c, x))
-                part.append(0 if d is None else int(np.searchsorted(cuts, d, "left")))
+            coded_ = [encode_ids(rank_of[_wide(held.as_py())]) for held in batch.column("ids")]
+            part = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in batch.column("doc_id").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int32()), batch.column("doc_id"), batch.column("n_tokens"), pa.array([c for c, _ in coded_], pa.binary()), pa.array([x for _, x in coded_], pa.binary())],
                 names=["part", "doc_id", "n_tokens", "control", "data"],
@@ -138,25 +145,28 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json
 
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, start = None, 0, 0
-        docs_, lengths, ranks = [], [], []
+        docs_, lengths, controls, codes, ids = [], [], [], [], 0
 
         def full() -> pa.RecordBatch:
-            c, x = encode_block(np.concatenate(ranks))
+            c, x = b"".join(controls), b"".join(codes)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), pa.array([docs_], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([c], pa.binary()), pa.array([x], pa.binary())],
                 names=["part", "block", "start", "doc_ids", "n_tokens", "control", "data"],
             )
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in ("part", "doc_id", "n_tokens", "control", "data"))):
-                if docs_ and (row[0] != part or sum(lengths) >= BLOCK_IDS):
+            for row in zip(*(batch.column(k) for k in ("part", "doc_id", "n_tokens", "control", "data"))):
+                own, doc, n, control, data = (x.as_py() for x in row)
+                if docs_ and (own != part or ids >= BLOCK_IDS):
                     yield full()
-                    number, start = (number + 1, start + sum(lengths)) if row[0] == part else (0, 0)
-                    docs_, lengths, ranks = [], [], []
-                part = row[0]
-                docs_.append(row[1])
-                lengths.append(row[2])
-                ranks.append(decode_block(row[3], row[4], row[2]))
+                    number, start = (number + 1, start + ids) if own == part else (0, 0)
+                    docs_, lengths, controls, codes, ids = [], [], [], [], 0
+                part = own
+                docs_.append(doc)
+                lengths.append(n)
+                controls.append(control)
+                codes.append(data)
+                ids += n
         if docs_:
             yield full()
 
@@ -182,9 +192,10 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = True) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 n = np.asarray(row["n_tokens"], np.int64)
-                ids = id_of[decode_block(row["control"], row["data"], int(n.sum()))]
+                ids = id_of[decode_block(row["control"], row["data"], n)]
                 ends = np.cumsum(n)
                 each = [ids[e - k : e] for e, k in zip(ends, n)]
                 last = pa.array([zlib.crc32(x.tobytes()) for x in each], pa.int64()) if digest else pa.array([x.astype(np.int64) for x in each], pa.list_(pa.int64()))

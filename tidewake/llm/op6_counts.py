@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidewake.llm.common import blocks
-from tidewake.llm.tokens import CACHE, byte_level_pieces, model_of
+from tidewake.llm.tokens import CACHE, byte_level_pieces, byte_level_text, model_of
 
 _NONE = np.int64(1 << 40)
 
@@ -88,7 +88,7 @@ class Counter:
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.special = [t["content"] for t in model_of(name)["added_tokens"]]
         self.split = regex.compile("|".join(map(regex.escape, self.special)))
-        self.known: dict[str, int] = {}
+        self.known: dict = {}
 
     def counts(self, texts: list[str]) -> list[int]:
         extra, cut = [], []
@@ -108,8 +108,8 @@ class Counter:
         get = self.known.__getitem__
         return [e + sum(map(get, c)) for e, c in zip(extra, cut)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        words = [self.pattern.findall(p) for p in pieces]
+    def _learn(self, pieces: list) -> None:
+        words = [self.pattern.findall(byte_level_text(p)) for p in pieces]
         distinct = list(set().union(*words))
         n = dict(zip(distinct, merged_counts(distinct, self.pairs).tolist()))
         for piece, own in zip(pieces, words):

@@ -8,17 +8,29 @@ library in batches and remembered; a worker's memory of them is bounded by ``CAC
 from __future__ import annotations
 
 import json
+import os
 import re
+import struct
 from collections.abc import Callable
+from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import public_tokenizers
 
 #: Most pieces that a worker remembers; beyond it the memory starts anew (results are the same).
-CACHE = 500_000
+CACHE = 300_000
 
-#: White space that is not a single blank or line feed between other characters.
-_ODD_SPACE = re.compile(r"\s\s|[^\S \n]|\s\Z|\A\s")
+#: White space that is neither a blank nor a line feed, in the ASCII range and beyond.
+_RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARE_WIDE = re.compile(r"[^\S \n]")
+
+
+def _odd_space(t: str) -> bool:
+    """Whether there is white space other than single blanks or line feeds between visible characters."""
+    if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n":
+        return True
+    return any(c in t for c in _RARE) if t.isascii() else bool(_RARE_WIDE.search(t))
 
 
 def load(name: str):
@@ -36,18 +48,23 @@ def model_of(name: str) -> dict:
         return json.load(f)
 
 
-def byte_level_pieces(text: str) -> list[str]:
+def byte_level_pieces(text: str) -> list[str | tuple[str]]:
     """Pieces for a byte-level tokenizer with the usual pattern (a word takes the blank before it).
 
-    A piece is a word with its leading blank, or with the line feed before it.  Texts with
-    other white space are cut only where a single blank stands between two visible characters.
+    A string stands for itself with a blank before it or, if it begins with a line feed, for itself alone; a tuple holds
+    a piece as it is.  Texts with odd white space are cut only where a single blank stands between two visible characters.
     """
     if not text:
         return []
-    if _ODD_SPACE.search(text):
-        return re.split(r"(?<=\S)(?= \S)", text)
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *[c if c[0] == "\n" else " " + c for c in rest]]
+    if _odd_space(text):
+        return [(p,) for p in re.split(r"(?<=\S)(?= \S)", text)]
+    out: list[str | tuple[str]] = text.replace("\n", " \n").split(" ")
+    out[0] = (out[0],)
+    return out
+
+
+def byte_level_text(piece: str | tuple[str]) -> str:
+    return piece[0] if type(piece) is tuple else piece if piece[:1] == "\n" else " " + piece
 
 
 def word_pieces(text: str) -> list[str]:
@@ -55,27 +72,75 @@ def word_pieces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def word_text(piece: str) -> str:
+    return piece
+
+
+def _byte_level_plain(piece: str | tuple[str]) -> tuple[str, str] | None:
+    """A word of ASCII letters in the vocabulary's own letters, and the mark after it, if that is all there is."""
+    if type(piece) is str and piece.isascii():
+        if piece.isalpha():
+            return "\u0120" + piece, ""
+        if piece[-1:] in (",", ".") and piece[:-1].isalpha():
+            return "\u0120" + piece[:-1], piece[-1]
+    return None
+
+
+def _word_plain(piece: str) -> tuple[str, str] | None:
+    if piece.isascii():
+        if piece.isalpha():
+            return piece.lower(), ""
+        if piece[-1:] in (",", ".") and piece[:-1].isalpha():
+            return piece[:-1].lower(), piece[-1]
+    return None
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How a tokenizer's texts are cut: into which pieces, what text each stands for, and which are plain words
+    whose pre-tokens need no pattern."""
+
+    pieces: Callable[[str], list]
+    text: Callable[[Any], str]
+    plain: Callable[[Any], tuple[str, str] | None]
+
+
+BYTE_LEVEL = Cut(byte_level_pieces, byte_level_text, _byte_level_plain)
+WORDS = Cut(word_pieces, word_text, _word_plain)
+
+
 class Encoder:
-    """``ids(texts)``: for each text its ids, as little-endian unsigned 32-bit integers."""
+    """``ids(texts)``: for each text its ids, as little-endian unsigned 32-bit integers.
 
-    def __init__(self, name: str, pieces: Callable[[str], list[str]], cache: int = CACHE) -> None:
-        self.tok, self.pieces, self.cache = load(name), pieces, cache
-        self.special = [t["content"] for t in model_of(name)["added_tokens"]]
-        self.known: dict[str, bytes] = {}
+    Normaliser, pre-tokenizer and model are the library's; texts with special strings are encoded whole.
+    """
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def __init__(self, name: str, cut: Cut, cache: int = CACHE) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
+        self.tok, self.cut, self.cache = load(name), cut, cache
+        self.special = [t["content"] for t in model_of(name)["added_tokens"]]
+        self.known: dict = {}
+
+    def _learn(self, new: list) -> None:
+        model, before, normal = self.tok.model.tokenize, self.tok.pre_tokenizer.pre_tokenize_str, self.tok.normalizer
+        for piece in new:
+            plain = self.cut.plain(piece)
+            if plain:
+                ids = [t.id for t in model(plain[0])]
+                if plain[1]:
+                    ids += [t.id for t in model(plain[1])]
+            else:
+                text = self.cut.text(piece)
+                text = normal.normalize_str(text) if normal else text
+                ids = [t.id for w, _ in before(text) for t in model(w)] if text else []
+            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         plain = [not any(s in t for s in self.special) for t in texts]
-        cut = [self.pieces(t) if p else [] for t, p in zip(texts, plain)]
+        cut = [self.cut.pieces(t) if p else [] for t, p in zip(texts, plain)]
         if len(self.known) > self.cache:
             self.known.clear()
-        known = self.known
-        new = list(set().union(*cut).difference(known))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for piece, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = np.asarray(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, c)) if p else self._whole(t) for t, p, c in zip(texts, plain, cut)]
+        self._learn(list(set().union(*cut).difference(self.known)))
+        get = self.known.__getitem__
+        whole = lambda t: np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        return [b"".join(map(get, c)) if p else whole(t) for t, p, c in zip(texts, plain, cut)]
