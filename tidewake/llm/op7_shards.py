@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidewake.llm.common import positioned
 
@@ -92,6 +93,6 @@ def write_shards(docs: DataFrame, path: str, shards: int = 24, seed: int = 20240
             p = permuted(batch.column("position").to_numpy(), total, seed)
             yield batch.append_column("shard", pa.array((p % shards).astype(np.int32))).append_column("slot", pa.array(p // shards))
 
-    schema = laid.schema.add("shard", "int").add("slot", "long")
+    schema = StructType([*laid.schema, StructField("shard", IntegerType()), StructField("slot", LongType())])
     out = laid.mapInArrow(run, schema).drop("position", *key[1:])
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
