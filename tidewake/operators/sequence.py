@@ -57,16 +57,16 @@ def state_periods(readings: DataFrame, c: Config = DEFAULT, previous: DataFrame
     whole = Window.partitionBy("mmsi", "seg").orderBy("run")
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
     r = runs(readings, c).withColumn("sure", F.col("n_readings") >= c.dwell_readings)
-    r = r.withColumn("last_sure", F.last(F.when("sure", F.col("state")), ignorenulls=True).over(before))
+    r = r.withColumn("last_sure", F.last(F.when(F.col("sure"), F.col("state")), ignorenulls=True).over(before))
     r = r.withColumn("_starts", F.col("sure") & (F.col("last_sure").isNull() | (F.col("last_sure") != F.col("state"))))
     r = r.withColumn("any_sure", F.max("sure").over(Window.partitionBy("mmsi", "seg")))
     counted = F.greatest(F.lit(1), F.sum(F.col("_starts").cast("int")).over(whole.rowsBetween(Window.unboundedPreceding, 0)))
-    r = r.withColumn("grp", F.when("any_sure", counted).otherwise(F.row_number().over(whole)))
+    r = r.withColumn("grp", F.when(F.col("any_sure"), counted).otherwise(F.row_number().over(whole)))
     # Ties of the lowest confidence: readings of the first believable run, then of short runs before it, then later ones.
     leading = F.col("any_sure") & F.col("last_sure").isNull() & ~F.col("sure")
     order = F.when(F.col("_starts") | ~F.col("any_sure"), 0).when(leading, 1).otherwise(2)
     p = r.groupBy("mmsi", "seg", "grp").agg(
-        F.coalesce(F.min_by("state", F.when("_starts", F.col("run"))), F.min_by("state", "run")).alias("raw"),
+        F.coalesce(F.min_by("state", F.when(F.col("_starts"), F.col("run"))), F.min_by("state", "run")).alias("raw"),
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"),
         F.sum("n_readings").cast("int").alias("n_readings"),
