@@ -64,6 +64,10 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Counter[Kind]:
     return done
 
 
+#: Kinds with more lengths than this are only exchanged one for one, or moved from: they have small pieces that fit anywhere.
+PAIRED = 12
+
+
 def fill(kind: Kind) -> int:
     return sum(a * n for a, n in kind)
 
@@ -88,8 +92,8 @@ def _exchange(a: Kind, b: Kind, capacity: int) -> tuple[tuple[int, ...], tuple[i
         if 0 < d <= free and gain > most:
             best, most = (give, take), gain
 
-    twos = [(x, y) for i, (x, n) in enumerate(a) for y, _ in a[i if n > 1 else i + 1 :]]
-    back = [(x, y) for i, (x, n) in enumerate(b) for y, _ in b[i if n > 1 else i + 1 :]]
+    two = lambda k: [(x, y) for i, (x, n) in enumerate(k) for y, _ in k[i if n > 1 else i + 1 :]] if len(k) <= PAIRED else []
+    twos, back = two(a), two(b)
     for x, _ in a:
         tried((x,), ())
         for y, _ in b:
@@ -102,7 +106,7 @@ def _exchange(a: Kind, b: Kind, capacity: int) -> tuple[tuple[int, ...], tuple[i
     return best
 
 
-def local_search(bins: Counter[Kind], capacity: int, steps: int = 2_000) -> Counter[Kind]:
+def local_search(bins: Counter[Kind], capacity: int, steps: int = 400) -> Counter[Kind]:
     """Exchange pieces between underfull bins while the squared fill grows; empty bins vanish.
 
     The emptiest kind gives to the others, fullest first.  It ends when the number of bins is the

@@ -8,10 +8,10 @@ Signature.  Each shingle has a Poisson process of points in time for each dyadic
 count that covers part of it takes part of its points) and a register.  A register keeps the document's
 earliest point.  Two documents agree in a register with the probability of their weighted Jaccard similarity.
 
-Classes.  Texts with equal words are one node.  Nodes that share a band are in one bucket; in
-each round a few pivots of a bucket are compared with its members of other components, and
-components are merged, until every bucket is one component or all its pairs of components were
-compared: no link inside a bucket is lost, and a bucket of n copies costs n comparisons, not n * n.
+Classes.  Texts with equal words are one node.  Nodes that share a band are in one bucket.  First all
+members of a bucket are compared with one of them, and components are formed.  Then the members outside a bucket's
+main component are compared with all of the bucket, in blocks: any two components of a bucket meet in
+such a pair, so no link inside a bucket is lost, and copies that are linked already are not compared with each other.
 """
 
 from __future__ import annotations
@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks, stage
+from tidewake.llm.common import blocks, drop_path, stage
 
 WIDTH, SIMILAR = 5, 0.8
 #: Four registers in twenty bands: a pair at similarity 0.8 misses all bands with probability 3e-5.
 BANDS, ROWS = 20, 4
-#: Pivots of a large bucket in one round; a bucket with at most twice as many members is finished in one round.
-PIVOTS = 16
+#: Texts on either side of a block that is compared in one task.
+BLOCK = 64
 _WORDS_HELD = 500_000
 
 _A, _B, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -170,11 +170,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """key, root (the least key of its component) for every end of the links (a, b).
 
-    Alternating large and small stars; the tables of each round lie in the shared folder.  A
-    node with many links is only ever aggregated or joined from its links' side.
+    Alternating large and small stars; the table of each round lies in the shared folder until the next
+    is there.  A node with many links is only ever aggregated or joined from its links' side.
     """
+    spark = links.sparkSession
     mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    edges, _ = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), name)
+    edges, path = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), name)
     before = mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -182,12 +183,54 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
-        edges, _ = stage(small, name)
+        edges, new = stage(small, name)
+        drop_path(spark, path)
+        path = new
         now = mark(edges)
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("key"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("key"), F.col("v").alias("root"))).distinct()
+    out, _ = stage(edges.select(F.col("u").alias("key"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("key"), F.col("v").alias("root"))).distinct(), f"{name}-roots")
+    drop_path(spark, path)
+    return out
+
+
+def _links_to_outliers(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between members of different components of one bucket.
+
+    ``open_`` has band, key, root, bands, n (members) and others (members outside the bucket's main component), and
+    ``out`` for these.  Every pair of components meets in a pair with an outlier, so outliers are the query set, compared with all
+    members in blocks of about ``BLOCK`` by ``BLOCK`` texts; a pair is compared in the first band that it shares.
+    """
+    spread = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    rows = open_.join(texts, "key").withColumn("parts", spread("n"))
+    members = rows.withColumn("m", own).withColumn("o", F.explode(F.sequence(F.lit(0), spread("others") - 1))).withColumn("role", F.lit(0))
+    out = rows.filter("out").withColumn("m", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("o", F.pmod(F.xxhash64("key"), spread("others")).cast("int")).withColumn("role", F.lit(1))
+    columns = ["band", "m", "o", "role", "key", "root", "out", "bands", "text"]
+
+    def compare(group: pa.Table) -> pa.Table:
+        held, found = Words(), []
+        band = group.column("band")[0].as_py()
+        sides = [[], []]
+        for role, key, root, is_out, bands, text in zip(*(group.column(c) for c in ("role", "key", "root", "out", "bands", "text"))):
+            bag = shingles(words_of(text.as_py()), held)
+            sides[role.as_py()].append((key.as_py(), root.as_py(), is_out.as_py(), np.asarray(bands.as_py(), np.int64), bag, int(bag[1].sum())))
+        if sides[0] and sides[1]:
+            bands = np.array([x[3] for x in sides[0]])
+            sizes = np.array([x[5] for x in sides[0]])
+            at = int(np.flatnonzero(sides[1][0][3] == band)[0])
+            for key, root, _, own_bands, bag, size in sides[1]:
+                same = bands == own_bands
+                fits = (same.argmax(axis=1) == at) & (np.minimum(sizes, size) >= SIMILAR * np.maximum(sizes, size) - 1e-9)
+                for k in np.flatnonzero(fits):
+                    other = sides[0][k]
+                    if other[1] != root and not (other[2] and other[0] < key) and similar(other[4], bag):
+                        found.append((max(key, other[0]), min(key, other[0])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    both = members.select(*columns).unionByName(out.select(*columns))
+    return both.groupBy("band", "m", "o").applyInArrow(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,43 +240,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     only if their words are equal.  Rows without a doc_id get their class's id and never give it, unless
     all have none (class_id null).  Repeated rows are kept; other columns are not read.
     """
+    spark = docs.sparkSession
     sketch, _ = stage(_sketched(docs), "sketches")
     nodes = sketch.groupBy("key").agg(F.min("doc_id").alias("least_id"))
     firsts = sketch.groupBy("key").agg(F.first("bands").alias("bands"))
     rows = firsts.select("key", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).filter("n > 1")
-    buckets, _ = stage(rows.join(shared, "band"), "buckets")  # only bands that two texts share
+    buckets, buckets_at = stage(rows.join(shared, "band"), "buckets")  # only bands that two texts share
     # Only texts in a bucket are fetched, once.
-    wanted = buckets.select("key").distinct().join(sketch.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key")
-    nameless = sketch.groupBy("key").agg(F.max("doc_id").alias("d")).filter("d IS NULL").select("key")
-    texts, _ = stage(_texts(docs, wanted, buckets.select("key").distinct().join(nameless, "key", "left_semi")), "bucket-texts")
-    empty = docs.sparkSession.createDataFrame([], "a binary, b binary")
-    links, tested = empty, empty
-    pairs = buckets.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
-    left = buckets.select("band", "key")
-    number = 0
-    while True:
-        pairs, _ = stage(pairs, f"pairs-{number}")
-        found, _ = stage(_verified(pairs, texts), f"links-{number}")
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
-        roots = components(links, f"components-{number}")
-        roots, _ = stage(roots, f"roots-{number}")
-        # Buckets that still hold several components; their used pivots leave.
-        known = left.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        if number:
-            known = known.filter(~F.col("used"))
-        open_ = known.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("band", "n")
-        known, _ = stage(known.select("band", "key", "root").join(open_, "band"), f"open-{number}")
-        if known.isEmpty():
-            return _classes(sketch, nodes, roots)
-        number += 1
-        chance = F.pmod(F.xxhash64("key", "band", F.lit(number)), F.lit(1 << 20))
-        left = known.withColumn("used", (F.col("n") <= 2 * PIVOTS) | (chance < F.lit(PIVOTS << 20) / F.col("n")))
-        left, _ = stage(left.drop("n"), f"members-{number}")
-        pivot = left.filter("used").select("band", F.col("key").alias("b"), F.col("root").alias("rb"))
-        met = left.join(pivot, "band").filter("root != rb AND (NOT used OR key > b)")
-        pairs = met.select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        left = left.select("band", "key", "used")
+    keys = buckets.select("key").distinct()
+    wanted = keys.join(nodes.filter("least_id IS NOT NULL").withColumnRenamed("least_id", "doc_id"), "key")
+    texts, texts_at = stage(_texts(docs, wanted, keys.join(nodes.filter("least_id IS NULL"), "key", "left_semi")), "bucket-texts")
+    # Round 1: all members of a bucket against one of them.
+    stars = buckets.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
+    links, links_at = stage(_verified(stars, texts), "star-links")
+    roots = components(links, "star-components")
+    # Round 2: buckets that still hold several components; the main one is that of most members.
+    known = buckets.select("band", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    parts = known.groupBy("band", "root").agg(F.count("*").alias("c"))
+    tops = parts.groupBy("band").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top")).filter("top.c < n")
+    tops = tops.select("band", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.c")).alias("others"))
+    left = known.join(tops, "band").withColumn("out", F.col("root") != F.col("top")).join(firsts, "key")
+    left, left_at = stage(left.select("band", "key", "root", "n", "others", "out", "bands"), "open-buckets")
+    more, more_at = stage(_links_to_outliers(left, texts).distinct(), "outlier-links")
+    if not more.isEmpty():
+        # The components found so far are one node each, so this graph is small.
+        joined = more.join(roots.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b", "left")
+        merged = components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "merged-components")
+        every = roots.unionByName(merged.select("key", F.col("key").alias("root"))).distinct()
+        roots = every.join(merged.select(F.col("key").alias("root"), F.col("root").alias("_r")), "root", "left").select("key", F.coalesce("_r", "root").alias("root")).distinct()
+    classes = _classes(sketch, nodes, roots)
+    for path in (buckets_at, texts_at, links_at, left_at, more_at):
+        drop_path(spark, path)
+    return classes
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, nameless: DataFrame) -> DataFrame:
