@@ -105,15 +105,23 @@ def append_batch(house: Warehouse, rows: DataFrame, received_at: datetime | None
     house.append("bronze", schemas.conform(df, schemas.RAW))
 
 
+def route(house: Warehouse, staged: DataFrame) -> None:
+    """Append the accepted and the rejected rows of one batch.
+
+    The batch is written first: it was compared with the accepted rows, which the first append changes.
+    """
+    house.replace("staged_batch", staged)
+    marked = house.read("staged_batch")
+    house.append("silver", schemas.conform(silver.accepted(marked), schemas.SILVER))
+    house.append("quarantine", schemas.conform(silver.rejected(marked), schemas.QUARANTINE))
+
+
 def run_silver(house: Warehouse, as_of: datetime) -> None:
     """Validate what arrived after the last run, then check that no row was lost."""
     bronze = house.read("bronze", schemas.RAW)
     done, out = house.read("silver", schemas.SILVER), house.read("quarantine", schemas.QUARANTINE)
     batch = silver.newer_than(bronze, silver.watermark(done, out))
-    marked = silver.staged(batch, as_of, done).persist()
-    house.append("silver", silver.accepted(marked))
-    house.append("quarantine", silver.rejected(marked))
-    marked.unpersist()
+    route(house, silver.staged(batch, as_of, done))
     silver.assert_conserved(bronze.count(), house.read("silver").count(), house.read("quarantine").count())
 
 

@@ -5,15 +5,15 @@ Late data beyond the watermark is left to the batch rebuild, which accepts it wi
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewake.operators import silver
-from tidewake.operators.store import Warehouse
-from tidewake.schemas import QUARANTINE, RAW, SILVER, conform
+from tidewake.operators.store import Warehouse, route
+from tidewake.schemas import RAW, SILVER, conform
 
 
 def raw_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -44,11 +44,8 @@ def silver_stream(stream: DataFrame, house: Warehouse, checkpoint: str, as_of: d
     """Validate each micro-batch against what was accepted before, and append both outcomes."""
 
     def batch(df: DataFrame, _: int) -> None:
-        when = as_of or datetime.utcnow()
-        marked = silver.staged(conform(df, RAW), when, house.read("silver", SILVER)).persist()
-        if not marked.isEmpty():
-            house.append("silver", conform(silver.accepted(marked), SILVER))
-            house.append("quarantine", conform(silver.rejected(marked), QUARANTINE))
-        marked.unpersist()
+        when = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+        if not df.isEmpty():
+            route(house, silver.staged(conform(df, RAW), when, house.read("silver", SILVER)))
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
