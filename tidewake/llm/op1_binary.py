@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import blocks, drop_path, scratch_path, shuffle_partitions, stage
-from tidewake.llm.tokens import BYTE_LEVEL, Encoder
+from tidewake.llm.tokens import encoder
 
 #: Ids that make a block full; a block has whole documents, one at least.
 BLOCK_IDS = 1 << 16
@@ -73,7 +73,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     tail = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer, BYTE_LEVEL)
+        enc = encoder(tokenizer, words=False)
         for batch in batches:
             ids = batch.column("doc_id")
             for first, texts in blocks(batch, "text"):

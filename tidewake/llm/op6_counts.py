@@ -8,6 +8,7 @@ counted.  No tokenizer library is used for the merging.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,6 +117,12 @@ class Counter:
             self.known[piece] = sum(map(n.__getitem__, own))
 
 
+@functools.lru_cache(maxsize=2)
+def counter(name: str) -> Counter:
+    """This worker's counter: what it has learned serves its later tasks too."""
+    return Counter(name)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 1024) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs`` (doc_id, text, ...).
 
@@ -124,11 +131,11 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(tokenizer)
+        own = counter(tokenizer)
         for batch in batches:
             ids = batch.column("doc_id")
             for first, texts in blocks(batch, "text"):
-                n = counter.counts(texts)
+                n = own.counts(texts)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(texts)).cast(pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import blocks, positioned, stage
-from tidewake.llm.tokens import WORDS, Encoder
+from tidewake.llm.tokens import encoder
 
 Kind = tuple[tuple[int, int], ...]  # (length, times), falling
 
@@ -163,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer, WORDS)
+        enc = encoder(tokenizer, words=True)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for first, texts in blocks(batch, "text"):
