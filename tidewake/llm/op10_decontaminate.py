@@ -24,6 +24,7 @@ from tidewake.llm.common import blocks
 Q = 8  # the hash is made by doubling: a power of two
 _MULT = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 _CHUNK = 1 << 15
+_CELLS, _FAR = 1 << 15, 1 << 29  # lanes aligned together; a cost beyond all
 
 #: Characters of a benchmark block that goes out at once (its index takes about 40 bytes for each).
 BLOCK = 1_000_000
@@ -99,35 +100,89 @@ class Index:
         return np.concatenate(items), np.concatenate(diagonals)
 
 
-def banded_distance(item: str, text: str, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best occurrence of ``item`` in ``text`` that starts on a diagonal in
-    [low, high] and strays at most ``budget`` diagonals from it; None beyond the budget."""
-    low, high = low - budget, high + budget
-    a, b = codes_of(item), codes_of(text)
-    width, far = high - low + 1, len(item) + len(text) + 1
-    lanes = np.arange(width)
-    padded = np.full(len(a) + width + len(b) + 2, 0xFFFFFFFF, np.uint32)  # padded[j - low] is text[j] for the first row
-    src, dst = max(0, low), max(0, -low)
-    own = b[src : src + len(padded) - dst]
-    padded[dst : dst + len(own)] = own
+@dataclass
+class Candidate:
+    """An item against the diagonals [low, high] of a text, widened by its budget on both sides."""
+
+    item: str
+    text: str
+    low: int
+    high: int
+    budget: int
+
+    @property
+    def width(self) -> int:
+        return self.high - self.low + 1 + 2 * self.budget
+
+
+def banded_distances(cases: list[Candidate]) -> list[tuple[int, int, int] | None]:
+    """For each case (edits, start, end) of its item's best occurrence that starts on a diagonal in [low, high]
+    and strays at most ``budget`` diagonals from it; None beyond the budget.
+
+    Cases of similar length are aligned together, row by row, one line of lanes for each.
+    """
+    out: list[tuple[int, int, int] | None] = [None] * len(cases)
+    order = sorted(range(len(cases)), key=lambda c: (cases[c].width, len(cases[c].item)))
+    while order:
+        n = max(1, min(len(order), _CELLS // cases[order[-1]].width))
+        _align(cases, order[-n:], out)
+        del order[-n:]
+    return out
+
+
+def _align(cases: list[Candidate], own: list[int], out: list) -> None:
+    held = [cases[c] for c in own]
+    rows, width = max(len(x.item) for x in held), max(x.width for x in held)
+    lanes = np.arange(width, dtype=np.int32)
+    wide = np.array([x.width for x in held], np.int32)[:, None]
+    low = np.array([x.low - x.budget for x in held], np.int64)[:, None]
+    size = np.array([len(x.text) for x in held], np.int64)[:, None]
+    budget = np.array([x.budget for x in held], np.int32)
+    length = np.array([len(x.item) for x in held], np.int64)
+    items = np.zeros((len(held), rows), np.uint32)
+    texts = np.full((len(held), rows + width), 0xFFFFFFFF, np.uint32)  # texts[c, j] is place low + j
+    for c, x in enumerate(held):
+        items[c, : len(x.item)] = codes_of(x.item)
+        first = x.low - x.budget
+        part = codes_of(x.text[max(0, first) : max(0, first + rows + width)])
+        texts[c, max(0, -first) : max(0, -first) + len(part)] = part
     at = low + lanes  # text places before which a row's cells stand
-    cost = np.where((at >= 0) & (at <= len(b)), 0, far)
+    # A row's cell lies in the text while after <= row <= until.
+    after, until = (-at).astype(np.int32), np.where(lanes < wide, size - at, -1).astype(np.int32)
+    cost = np.where((after <= 0) & (until >= 0), 0, _FAR).astype(np.int32)
     start = at.copy()
-    for i, c in enumerate(a):
-        step = cost + (padded[i : i + width] != c)
-        step[at + i >= len(b)] = far
-        gap = np.r_[cost[1:] + 1, far]  # the item's character is missing in the text
-        origin = np.where(step <= gap, start, np.r_[start[1:], 0])
-        step = np.minimum(step, gap)
-        run = np.minimum.accumulate(step - lanes)  # characters that only the text has
-        source = np.maximum.accumulate(np.where(step - lanes == run, lanes, 0))
-        cost, start = run + lanes, origin[source]
-        inside = (at + i + 1 >= 0) & (at + i + 1 <= len(b))
-        cost = np.where(inside, cost, far)
-        if cost.min() > budget:
-            return None
-    best = int(np.argmin(cost))
-    return (int(cost[best]), int(start[best]), int(at[best] + len(a))) if cost[best] <= budget else None
+    number = np.array(own)
+    for i in range(rows):
+        step = cost + (texts[:, i : i + width] != items[:, i : i + 1])
+        step[until <= i] = _FAR
+        gap = np.full_like(cost, _FAR)  # the item's character is missing in the text
+        gap[:, :-1] = cost[:, 1:] + 1
+        later = np.zeros_like(start)
+        later[:, :-1] = start[:, 1:]
+        origin = np.where(step <= gap, start, later)
+        step = np.minimum(step, gap) - lanes
+        run = np.minimum.accumulate(step, axis=1)  # characters that only the text has
+        source = np.maximum.accumulate(np.where(step == run, lanes, 0), axis=1)
+        cost, start = run + lanes, np.take_along_axis(origin, source, 1)
+        cost[(after > i + 1) | (until < i + 1)] = _FAR
+        least = cost.min(axis=1)
+        done = length == i + 1
+        for c in np.flatnonzero(done & (least <= budget)).tolist():
+            best = int(np.argmin(cost[c]))
+            out[number[c]] = (int(least[c]), int(start[c, best]), int(at[c, best] + length[c]))
+        on = ~done & (least <= budget)
+        if not on.any():
+            return
+        if not on.all():
+            length = np.where(on, length, 0)
+            if 8 * on.sum() <= 7 * len(on):
+                cost, start, at, texts, items, after, until = (x[on] for x in (cost, start, at, texts, items, after, until))
+                length, budget, number = length[on], budget[on], number[on]
+
+
+def banded_distance(item: str, text: str, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
+    """``banded_distances`` of one case."""
+    return banded_distances([Candidate(item, text, low, high, budget)])[0]
 
 
 def occurrences(texts: list[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
@@ -149,6 +204,7 @@ def occurrences(texts: list[str], index: Index) -> Iterator[tuple[int, int, int,
     items, bands = keys // (2 * span), keys % (2 * span) - span
     least = np.maximum(1, lengths[items] + 1 - Q - index.budgets[items] * Q)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    open_: list[tuple[int, int, Candidate]] = []
     for i, band_ in zip(items[counts >= least].tolist(), bands[counts >= least].tolist()):
         k, own = int(index.budgets[i]), index.texts[i]
         low, high = band_ * (k + 1), (band_ + 2) * (k + 1) - 1
@@ -156,13 +212,19 @@ def occurrences(texts: list[str], index: Index) -> Iterator[tuple[int, int, int,
         for d in range(first, len(texts)):
             if starts[d] > high + k + len(own):
                 break
-            if best.get((d, i), (1,))[0] == 0:
+            if (d, i) in best:
                 continue
-            lo = max(0, low - k - int(starts[d]))
-            exact = texts[d].find(own, lo, high + k + len(own) - int(starts[d])) if high + k + len(own) > starts[d] else -1
-            found = (0, exact, exact + len(own)) if exact >= 0 else banded_distance(own, texts[d], low - int(starts[d]), high - int(starts[d]), k)
-            if found and found < best.get((d, i), (1 << 30,)):
-                best[d, i] = found
+            case = Candidate(own, texts[d], low - int(starts[d]), high - int(starts[d]), k)
+            until = case.high + k + len(own)
+            exact = texts[d].find(own, max(0, case.low - k), until) if until > 0 else -1
+            if exact >= 0:
+                best[d, i] = (0, exact, exact + len(own))
+            else:
+                open_.append((d, i, case))
+    open_ = [x for x in open_ if x[:2] not in best]
+    for (d, i, _), found in zip(open_, banded_distances([case for _, _, case in open_])):
+        if found and found < best.get((d, i), (1 << 30,)):
+            best[d, i] = found
     for (d, i), (edits, start, end) in best.items():
         yield d, i, edits, start, end
 
