@@ -84,7 +84,7 @@ def merged_counts(words: list[str], pairs: PairRanks) -> np.ndarray:
 class Counter:
     """Counts of tokens, each distinct piece once per worker."""
 
-    def __init__(self, name: str, cache: int = CACHE) -> None:
+    def __init__(self, name: str, cache: int = CACHE // 2) -> None:
         self.pairs, self.cache = PairRanks(name), cache
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.special = [t["content"] for t in model_of(name)["added_tokens"]]

@@ -2,7 +2,7 @@
 
 A text is cut at places where the tokenizer's own pre-tokenizer always cuts, so the ids of
 the pieces, joined, are the ids of the text.  Pieces are encoded by the ``tokenizers``
-library in batches and remembered; a worker's memory of them is bounded by ``CACHE`` pieces.
+library when first met and remembered; a worker's memory of them is bounded by ``CACHE`` pieces.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from typing import Any
 import numpy as np
 import public_tokenizers
 
-#: Most pieces that a worker remembers; beyond it the memory starts anew (results are the same).
-CACHE = 400_000
+#: Most pieces that a worker remembers; beyond it those not in use are forgotten (results are the same).
+CACHE = 800_000
 
 #: White space that is neither a blank nor a line feed, in the ASCII range and beyond.
 _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
@@ -110,6 +110,25 @@ BYTE_LEVEL = Cut(byte_level_pieces, byte_level_text, _byte_level_plain)
 WORDS = Cut(word_pieces, word_text, _word_plain)
 
 
+class Known(dict):
+    """Ids of pieces, learned when first asked for.  When ``most`` are held they become the older half
+    of the memory, from which pieces in use return; the rest of that half is forgotten at the next turn."""
+
+    def __init__(self, learn: Callable[[Any], bytes], most: int) -> None:
+        super().__init__()
+        self.learn, self.most, self.older = learn, most, {}
+
+    def __missing__(self, piece: Any) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.learn(piece)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """``ids(texts)``: for each text its ids, as little-endian unsigned 32-bit integers.
 
@@ -118,33 +137,29 @@ class Encoder:
 
     def __init__(self, name: str, cut: Cut, cache: int = CACHE) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
-        self.tok, self.cut, self.cache = load(name), cut, cache
+        self.tok, self.cut = load(name), cut
+        self.model, self.before, self.normal = self.tok.model.tokenize, self.tok.pre_tokenizer.pre_tokenize_str, self.tok.normalizer
         self.special = [t["content"] for t in model_of(name)["added_tokens"]]
-        self.known: dict = {}
-
-    def _learn(self, new: list) -> None:
-        model, before, normal = self.tok.model.tokenize, self.tok.pre_tokenizer.pre_tokenize_str, self.tok.normalizer
-        for piece in new:
-            plain = self.cut.plain(piece)
-            if plain:
-                ids = [t.id for t in model(plain[0])]
-                if plain[1]:
-                    ids += [t.id for t in model(plain[1])]
-            else:
-                text = self.cut.text(piece)
-                text = normal.normalize_str(text) if normal else text
-                ids = [t.id for w, _ in before(text) for t in model(w)] if text else []
-            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        self.known = Known(self._learn, max(1, cache // 2))
+
+    def _learn(self, piece: Any) -> bytes:
+        plain = self.cut.plain(piece)
+        if plain:
+            ids = [t.id for t in self.model(plain[0])]
+            if plain[1]:
+                ids += [t.id for t in self.model(plain[1])]
+        else:
+            text = self.cut.text(piece)
+            text = self.normal.normalize_str(text) if self.normal else text
+            ids = [t.id for w, _ in self.before(text) for t in self.model(w)] if text else []
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        plain = [not any(s in t for s in self.special) for t in texts]
-        cut = [self.cut.pieces(t) if p else [] for t, p in zip(texts, plain)]
-        if len(self.known) > self.cache:
-            self.known.clear()
-        self._learn(list(set().union(*cut).difference(self.known)))
-        get = self.known.__getitem__
-        whole = lambda t: np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        return [b"".join(map(get, c)) if p else whole(t) for t, p, c in zip(texts, plain, cut)]
+        get, pieces, special = self.known.__getitem__, self.cut.pieces, self.special
+        return [self._whole(t) if any(s in t for s in special) else b"".join(map(get, pieces(t))) for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
