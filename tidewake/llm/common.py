@@ -17,6 +17,10 @@ _OWN_SCRATCH: dict[str, str] = {}
 #: Most bytes of texts that a Python worker handles at once (a longer text is one block).
 BLOCK_BYTES = 1_000_000
 
+#: Most bytes of a batch between the JVM and a Python worker while a staged table is written (one row at least).
+BATCH_BYTES = "8m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
@@ -47,7 +51,12 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> tuple[DataFrame,
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    own = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, own)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -66,19 +75,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def slices(columns: list[pa.Array], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive rows whose texts in ``columns`` have at most ``limit`` bytes together."""
+    ends = np.cumsum(sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in columns), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield first, last - first
+        first = last
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of consecutive rows with at most ``limit`` bytes together; null is empty.
 
     Only one block's rows are Python strings at a time.
     """
     own = batch.column(column)
-    ends = np.cumsum(pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    first = 0
-    while first < len(own):
-        before = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
-        yield first, [t or "" for t in own.slice(first, last - first).to_pylist()]
-        first = last
+    for first, n in slices([own], limit):
+        yield first, [t or "" for t in own.slice(first, n).to_pylist()]
 
 
 def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:

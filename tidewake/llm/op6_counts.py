@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidewake.llm.common import blocks
-from tidewake.llm.tokens import CACHE, byte_level_pieces, byte_level_text, model_of
+from tidewake.llm.tokens import byte_level_pieces, byte_level_text, model_of
 
 _NONE = np.int64(1 << 40)
 
@@ -84,7 +84,7 @@ def merged_counts(words: list[str], pairs: PairRanks) -> np.ndarray:
 class Counter:
     """Counts of tokens, each distinct piece once per worker."""
 
-    def __init__(self, name: str, cache: int = CACHE // 2) -> None:
+    def __init__(self, name: str, cache: int = 400_000) -> None:
         self.pairs, self.cache = PairRanks(name), cache
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.special = [t["content"] for t in model_of(name)["added_tokens"]]

@@ -25,14 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks, drop_path, stage
+from tidewake.llm.common import blocks, drop_path, slices, stage
 
 WIDTH, SIMILAR = 5, 0.8
 #: Four registers in twenty bands: a pair at similarity 0.8 misses all bands with probability 3e-5.
 BANDS, ROWS = 20, 4
 #: Texts on either side of a block that is compared in one task.
 BLOCK = 64
-_WORDS_HELD = 500_000
+_WORDS_HELD = 200_000
 
 _A, _B, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -157,11 +157,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, before, bag = Words(), None, None
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                if b != before:
-                    before, bag = b, shingles(words_of(b), words)
-                keep.append(similar(shingles(words_of(a), words), bag))
+            keep, ta, tb = [], batch.column("ta"), batch.column("tb")
+            for first, n in slices([ta, tb]):
+                for a, b in zip(ta.slice(first, n).to_pylist(), tb.slice(first, n).to_pylist()):
+                    if b != before:
+                        before, bag = b, shingles(words_of(b), words)
+                    keep.append(similar(shingles(words_of(a), words), bag))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return held.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
@@ -280,10 +281,9 @@ def _texts(docs: DataFrame, wanted: DataFrame, nameless: DataFrame) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            own = [key_of(words_of(t)) for t in texts]
+            own = [key_of(words_of(t)) for _, texts in blocks(batch, "text") for t in texts]
             keep = pa.array([k is None or k == o for k, o in zip(batch.column("key").to_pylist(), own)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(texts, pa.string())], names=["key", "text"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), batch.column("text")], names=["key", "text"]).filter(keep)
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = own.filter("doc_id IS NOT NULL").join(wanted, "doc_id").select("key", "text").mapInArrow(run, "key binary, text string")

@@ -20,7 +20,7 @@ import numpy as np
 import public_tokenizers
 
 #: Most pieces that a worker remembers; beyond it those not in use are forgotten (results are the same).
-CACHE = 800_000
+CACHE = 600_000
 
 #: White space that is neither a blank nor a line feed, in the ASCII range and beyond.
 _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
