@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import blocks, drop_path, slices, stage
+from tidewake.llm.tokens import forget
 
 WIDTH, SIMILAR = 5, 0.8
 #: Four registers in twenty bands: a pair at similarity 0.8 misses all bands with probability 3e-5.
@@ -136,6 +137,7 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held = Words()
         for batch in batches:
             ids = batch.column("doc_id")
@@ -155,6 +157,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     held = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words, before, bag = Words(), None, None
         for batch in batches:
             keep, ta, tb = [], batch.column("ta"), batch.column("tb")
@@ -211,6 +214,7 @@ def _links_to_outliers(open_: DataFrame, texts: DataFrame) -> DataFrame:
     columns = ["band", "m", "o", "role", "key", "root", "out", "bands", "text"]
 
     def compare(group: pa.Table) -> pa.Table:
+        forget()
         held, found = Words(), []
         band = group.column("band")[0].as_py()
         sides = [[], []]
@@ -280,6 +284,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, nameless: DataFrame) -> DataFrame
     """key, text of the wanted keys (key, doc_id); rows that share an id are told apart by their key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             own = [key_of(words_of(t)) for _, texts in blocks(batch, "text") for t in texts]
             keep = pa.array([k is None or k == o for k, o in zip(batch.column("key").to_pylist(), own)], pa.bool_())

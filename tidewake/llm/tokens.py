@@ -8,6 +8,7 @@ library when first met and remembered; a worker's memory of them is bounded by `
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 import re
@@ -18,6 +19,7 @@ from typing import Any
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 #: Most pieces that a worker remembers; beyond it those not in use are forgotten (results are the same).
 CACHE = 600_000
@@ -166,3 +168,11 @@ class Encoder:
 def encoder(name: str, words: bool) -> Encoder:
     """This worker's encoder: what it has learned serves its later tasks too."""
     return Encoder(name, WORDS if words else BYTE_LEVEL)
+
+
+def forget() -> None:
+    """Give back what this worker's encoders hold: for maps of other operators that run in the same worker later."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
