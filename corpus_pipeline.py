@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the one with the least doc_id."""
+    """One document of each near-duplicate class stays: one with the least doc_id."""
     return op9_minhash.representatives(docs)
 
 

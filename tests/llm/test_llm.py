@@ -222,6 +222,18 @@ def test_near_duplicates(spark, odd, none):
     assert op9_minhash.representatives(docs).count() == len(set(got.values()))
 
 
+def test_one_row_of_each_class_stays(spark, odd, none):
+    words = lambda seed: " ".join(random.Random(seed).choices([f"w{i}" for i in range(300)], k=60))
+    rows = [(7, words(i)) for i in range(20)] + [(None, words(30)), (None, words(30).upper()), (None, words(31)), (8, words(31)), (7, words(3)), (6, words(4) + " end")]
+    got = Counter(tuple(r) for r in op9_minhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(7, words(i)) for i in range(20) if i != 4] + [(6, words(4) + " end"), (None, words(30).upper()), (8, words(31))]
+    assert got == Counter(want)
+    kept = op9_minhash.representatives(odd)
+    texts = [TEXTS[0], *TEXTS[3:6], *TEXTS[7:], "another text with the id five"]
+    assert Counter(r.text for r in kept.collect()) == Counter(texts) and kept.columns == odd.columns
+    assert op9_minhash.representatives(none).count() == 0
+
+
 def test_signatures_are_unbiased():
     r = np.random.default_rng(4)
     est, want = [], []

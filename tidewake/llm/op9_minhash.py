@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidewake.llm.common import blocks, drop_path, slices, stage
 from tidewake.llm.tokens import forget
@@ -245,6 +246,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     only if their words are equal.  Rows without a doc_id get their class's id and never give it, unless
     all have none (class_id null).  Repeated rows are kept; other columns are not read.
     """
+    return _classes(*_linked(docs))
+
+
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches (doc_id, key, bands), nodes (key, least_id), and roots (key, root) of the nodes that have a link."""
     spark = docs.sparkSession
     sketch, _ = stage(_sketched(docs), "sketches")
     nodes = sketch.groupBy("key").agg(F.min("doc_id").alias("least_id"))
@@ -274,10 +280,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         merged = components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "merged-components")
         every = roots.unionByName(merged.select("key", F.col("key").alias("root"))).distinct()
         roots = every.join(merged.select(F.col("key").alias("root"), F.col("root").alias("_r")), "root", "left").select("key", F.coalesce("_r", "root").alias("root")).distinct()
-    classes = _classes(sketch, nodes, roots)
+    roots, _ = stage(roots, "roots")
     for path in (buckets_at, texts_at, links_at, left_at, more_at):
         drop_path(spark, path)
-    return classes
+    return sketch, nodes, roots
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, nameless: DataFrame) -> DataFrame:
@@ -304,13 +310,40 @@ def _classes(sketch: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame
     return sketch.select("doc_id", "key").join(each, "key").select("doc_id", "class_id")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the _key of each text; of rows of a batch that share doc_id and key one with the least text."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            own = [key_of(words_of(t)) for _, texts in blocks(batch, "text") for t in texts]
+            ids, texts, first = batch.column("doc_id").to_pylist(), batch.column(at), {}
+            for k, node in enumerate(zip(ids, own)):
+                held = first.setdefault(node, k)
+                if held != k:
+                    a, b = texts[held].as_py(), texts[k].as_py()
+                    if (b is not None, b or "") < (a is not None, a or ""):
+                        first[node] = k
+            keyed = pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.binary())], names=[*batch.schema.names, "_key"])
+            yield keyed if len(first) == len(own) else keyed.take(pa.array(sorted(first.values()), pa.int64()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField("_key", BinaryType())]))
+
+
 def representatives(docs: DataFrame) -> DataFrame:
-    """One row of each class of ``docs``, that with the class's least doc_id, with its own columns.
+    """One row of each class of ``docs``, with its own columns, whatever the ids.
 
-    Repeated rows give one row.  Of rows that share the id the one with the least text is kept;
-    a class without any doc_id has no representative.
+    It is a row of the class's least doc_id (a null is the last; tie: the least key), so rows of different
+    classes that share an id, or have none, all stay.  Of rows that share id and words the one with the least text is kept.
     """
-    kept = near_duplicates(docs).select(F.col("class_id").alias("_class")).distinct()
-    own = docs.withColumn("_class", F.col("doc_id").cast("long")).join(kept, "_class", "left_semi")
+    _, nodes, roots = _linked(docs)
+    linked = nodes.join(roots, "key")
+    chosen = linked.groupBy("root").agg(F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key")).alias("m"))
+    others = linked.join(chosen, "root").filter("key != m.key").select("key")
+    node = lambda d, doc_id, key: (F.coalesce(d[doc_id].cast("long"), F.lit(0)).alias("_id"), d[doc_id].isNull().alias("_none"), d[key].alias("_key"))
+    kept, _ = stage(nodes.join(others, "key", "left_anti").select(*node(nodes, "least_id", "key")), "representatives")
+    keyed = _keyed(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return own.groupBy("_class").agg(F.min_by(row, F.struct("text")).alias("_row")).select("_row.*")
+    rows = keyed.select(*node(keyed, "doc_id", "_key"), "text", row.alias("_row")).join(kept, ["_id", "_none", "_key"], "left_semi")
+    return rows.groupBy("_id", "_none", "_key").agg(F.min_by("_row", F.struct("text")).alias("_row")).select("_row.*")
