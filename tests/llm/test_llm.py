@@ -186,6 +186,38 @@ def test_search_empties_bins():
         assert have == h and sum(bins.values()) <= sum(first.values())
 
 
+def helps(a, b, capacity):
+    """Whether one piece of a for none, one or two of b, or two for one, makes b fuller and the squared fill larger."""
+    one = lambda k: [(x,) for x, _ in k]
+    two = lambda k: [(x, y) for x, n in k for y, _ in k if x != y or n > 1]
+    fa, fb = op8_packing.fill(a), op8_packing.fill(b)
+    for gives, takes in ((one(a), [(), *one(b), *two(b)]), (two(a), one(b))):
+        for d in (sum(g) - sum(t) for g in gives for t in takes):
+            if 0 < d <= capacity - fb and (fa - d) ** 2 + (fb + d) ** 2 > fa**2 + fb**2:
+                return True
+    return False
+
+
+def test_search_ends_where_no_exchange_helps():
+    r = random.Random(6)
+    many = dict(Counter(min(4096, int(r.lognormvariate(7.3, 0.6)) + 1) for _ in range(3000)))
+    small = [(dict(Counter(r.randint(5, 60) for _ in range(r.randint(20, 90)))), 100) for _ in range(30)]
+    for first, capacity in [(op8_packing.best_fit(h, c), c) for h, c in [(many, 4096), *small]]:
+        pieces = Counter()
+        for kind, n in first.items():
+            for a, k in kind:
+                pieces[a] += k * n
+        bins, have = op8_packing.local_search(first, capacity), Counter()
+        for kind, n in bins.items():
+            assert op8_packing.fill(kind) <= capacity
+            for a, k in kind:
+                have[a] += k * n
+        assert have == pieces and sum(bins.values()) <= sum(first.values())
+        if sum(bins.values()) * capacity >= sum(a * n for a, n in pieces.items()) + capacity:
+            under = [k for k in bins if op8_packing.fill(k) < capacity]
+            assert not any(helps(a, b, capacity) for a in under for b in under if a != b or bins[a] > 1)
+
+
 def family(r, words, n, edits):
     base = [r.choice(words) for _ in range(120)]
     for _ in range(n):

@@ -3,7 +3,7 @@
 Pieces of one length are alike, so the driver packs the histogram of lengths (at most
 ``capacity`` rows whatever the corpus): best fit by falling length makes kinds of bins
 with a number of copies each; the local search then exchanges pieces between underfull kinds,
-for all copies at once.  Every piece takes its place by its rank among the pieces of its length.
+for all copies at once, until no exchange helps.  Every piece takes its place by its rank among the pieces of its length.
 """
 
 from __future__ import annotations
@@ -64,10 +64,6 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Counter[Kind]:
     return done
 
 
-#: Kinds with more lengths than this are only exchanged one for one, or moved from: they have small pieces that fit anywhere.
-PAIRED = 12
-
-
 def fill(kind: Kind) -> int:
     return sum(a * n for a, n in kind)
 
@@ -79,66 +75,149 @@ def _changed(kind: Kind, out: tuple[int, ...], into: tuple[int, ...]) -> Kind:
     return tuple(sorted(((a, n) for a, n in c.items() if n), reverse=True))
 
 
+def _ones(kind: Kind) -> list[tuple[int, ...]]:
+    return [(a,) for a, _ in kind]
+
+
+def _twos(kind: Kind) -> list[tuple[int, ...]]:
+    return [(x, y) for i, (x, n) in enumerate(kind) for y, _ in kind[i if n > 1 else i + 1 :]]
+
+
+def _sums(options: list[tuple[int, ...]]) -> np.ndarray:
+    return np.unique(np.array([sum(o) for o in options], np.int64))
+
+
 def _exchange(a: Kind, b: Kind, capacity: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
-    """What to give from ``a`` to ``b`` and to take back, so that the squared fill grows most."""
-    fa, fb = fill(a), fill(b)
-    free = capacity - fb
-    best, most = None, 0
-
-    def tried(give: tuple[int, ...], take: tuple[int, ...]) -> None:
-        nonlocal best, most
-        d = sum(give) - sum(take)
-        gain = (fb + d) ** 2 + (fa - d) ** 2 - fa**2 - fb**2
-        if 0 < d <= free and gain > most:
-            best, most = (give, take), gain
-
-    two = lambda k: [(x, y) for i, (x, n) in enumerate(k) for y, _ in k[i if n > 1 else i + 1 :]] if len(k) <= PAIRED else []
-    twos, back = two(a), two(b)
-    for x, _ in a:
-        tried((x,), ())
-        for y, _ in b:
-            tried((x,), (y,))
-        for pair in back:
-            tried((x,), pair)
-    for pair in twos:
-        for y, _ in b:
-            tried(pair, (y,))
+    """What to give from ``a`` to ``b`` and to take back, so that the squared fill grows most.
+
+    The gain 2 d (d + fill(b) - fill(a)) grows with d, the places that b gains, so the largest d that fits is the best.
+    """
+    free, best, most = capacity - fill(b), None, max(0, fill(a) - fill(b))
+    for gives, takes in ((_ones(a), [(), *_ones(b), *_twos(b)]), (_twos(a), _ones(b))):
+        of = {sum(t): t for t in reversed(takes)}
+        back = np.array(sorted(of), np.int64)
+        for give in gives if len(back) else ():
+            g = sum(give)
+            at = int(np.searchsorted(back, g - free))
+            if at < len(back) and g - back[at] > most:
+                best, most = (give, of[int(back[at])]), int(g - back[at])
     return best
 
 
-def local_search(bins: Counter[Kind], capacity: int, steps: int = 400) -> Counter[Kind]:
+class _Underfull:
+    """The underfull kinds, a row each, with tables by place that answer for many pairs at once whether an exchange helps.
+
+    ``after12`` and ``after1`` have the least sum that is not below a place, of no, one or two pieces and of one;
+    ``upto1`` and ``upto2`` the greatest that is not above it, of one piece and of two.
+    """
+
+    def __init__(self, capacity: int) -> None:
+        self.capacity, self.none = capacity, 4 * capacity + 4
+        self.row: dict[Kind, int] = {}
+        self.kind: list[Kind | None] = []
+        self.unused: list[int] = []
+        self.fills = np.zeros(0, np.int64)
+        self.live, self.stuck = np.zeros(0, bool), np.zeros(0, bool)
+        self.tables = [np.zeros((0, capacity + 1), np.int16 if self.none < 1 << 15 else np.int64) for _ in range(4)]
+
+    def add(self, kind: Kind) -> int:
+        if not self.unused:
+            n = max(64, len(self.kind) // 2)
+            self.unused = list(range(len(self.kind) + n - 1, len(self.kind) - 1, -1))
+            self.kind += [None] * n
+            self.fills, self.live, self.stuck = (np.concatenate([x, np.zeros(n, x.dtype)]) for x in (self.fills, self.live, self.stuck))
+            self.tables = [np.concatenate([x, np.zeros((n, x.shape[1]), x.dtype)]) for x in self.tables]
+        r = self.row[kind] = self.unused.pop()
+        self.kind[r], self.fills[r], self.live[r], self.stuck[r] = kind, fill(kind), True, False
+        one, two = _sums(_ones(kind)), _sums(_twos(kind))
+        for table, sums in zip(self.tables, (np.concatenate([[0], one, two]), one, one, two)):
+            after = table is self.tables[0] or table is self.tables[1]
+            own = np.full(self.capacity + 1, self.none if after else -self.none)
+            own[sums] = sums
+            table[r] = np.minimum.accumulate(own[::-1])[::-1] if after else np.maximum.accumulate(own)
+        return r
+
+    def remove(self, kind: Kind) -> None:
+        r = self.row.pop(kind)
+        self.live[r] = False
+        self.kind[r] = None
+        self.unused.append(r)
+
+    def emptiest(self) -> int | None:
+        """The row of the emptiest kind that is not stuck."""
+        rows = np.flatnonzero(self.live & ~self.stuck)
+        return int(rows[self.fills[rows].argmin()]) if len(rows) else None
+
+    def taker(self, giver: int, itself: bool) -> int | None:
+        """The fullest row that an exchange with the giver helps."""
+        rows = np.flatnonzero(self.live)
+        rows = rows[np.argsort(-self.fills[rows], kind="stable")]
+        rows = rows if itself else rows[rows != giver]
+        one, two = (_sums(f(self.kind[giver]))[:, None] for f in (_ones, _twos))
+        for k in range(0, len(rows), 256):
+            some = rows[k : k + 256]
+            free, most = self.capacity - self.fills[some], np.maximum(0, self.fills[giver] - self.fills[some])
+            helps = (one - self.tables[0][some, np.maximum(0, one - free)]).max(axis=0, initial=0) > most
+            helps |= (two - self.tables[1][some, np.maximum(0, two - free)]).max(axis=0, initial=0) > most
+            if helps.any():
+                return int(some[helps.argmax()])
+        return None
+
+    def wake(self, taker: int) -> None:
+        """Stuck rows that an exchange with this new taker helps are stuck no more."""
+        every, free = np.flatnonzero(self.live & self.stuck), self.capacity - self.fills[taker]
+        one, two = (_sums(f(self.kind[taker]))[:, None] for f in (_ones, _twos))
+        takes = np.concatenate([[[0]], one, two])
+        for k in range(0, len(every), 256):
+            some = every[k : k + 256]
+            most = np.maximum(0, self.fills[some] - self.fills[taker])
+            helps = (self.tables[2][some, np.minimum(self.capacity, takes + free)] - takes).max(axis=0, initial=0) > most
+            helps |= (self.tables[3][some, np.minimum(self.capacity, one + free)] - one).max(axis=0, initial=0) > most
+            self.stuck[some[helps]] = False
+
+
+def local_search(bins: Counter[Kind], capacity: int) -> Counter[Kind]:
     """Exchange pieces between underfull bins while the squared fill grows; empty bins vanish.
 
-    The emptiest kind gives to the others, fullest first.  It ends when the number of bins is the
-    least possible, when no exchange helps, or after ``steps`` exchanges (a search budget: any
-    result packs every piece).
+    The emptiest kind gives to the others, fullest first: one piece for none, one or two, or two for one.  It ends when
+    the number of bins is the least possible or no exchange helps; each exchange adds to the squared fill, so it does end.
     """
     bins = Counter(bins)
-    least = -(-sum(fill(k) * n for k, n in bins.items()) // capacity)
-    stuck: set[Kind] = set()
-    for _ in range(steps):
-        if sum(bins.values()) <= least:
-            break
-        under = sorted((k for k in bins if fill(k) < capacity), key=lambda k: (fill(k), k))
-        giver = next((k for k in under if k not in stuck), None)
-        if giver is None:
+    total, least = sum(bins.values()), -(-sum(fill(k) * n for k, n in bins.items()) // capacity)
+    if total <= least:
+        return bins
+    under = _Underfull(capacity)
+    for kind in sorted(k for k in bins if fill(k) < capacity):
+        under.add(kind)
+    while total > least:
+        a = under.emptiest()
+        if a is None:
             break
-        for taker in sorted(under, key=lambda k: (-fill(k), k)):
-            if taker == giver and bins[giver] < 2:
-                continue
-            swap = _exchange(giver, taker, capacity)
-            if swap is None:
-                continue
-            n = bins[giver] // 2 if taker == giver else min(bins[giver], bins[taker])
-            for kind, by in ((giver, -n), (taker, -n), (_changed(giver, swap[0], swap[1]), n), (_changed(taker, swap[1], swap[0]), n)):
-                if kind:
-                    bins[kind] += by
-                    if not bins[kind]:
-                        del bins[kind]
-            stuck.clear()
-            break
-        else:
-            stuck.add(giver)
+        giver = under.kind[a]
+        b = under.taker(a, bins[giver] > 1)
+        if b is None:
+            under.stuck[a] = True
+            continue
+        taker = under.kind[b]
+        give, take = _exchange(giver, taker, capacity)
+        n = bins[giver] // 2 if a == b else min(bins[giver], bins[taker])
+        before = {}
+        for kind, by in ((giver, -n), (taker, -n), (_changed(giver, give, take), n), (_changed(taker, take, give), n)):
+            if kind:
+                before.setdefault(kind, bins[kind])
+                bins[kind] += by
+            else:
+                total -= n
+        for kind, had in before.items():
+            if not bins[kind]:
+                del bins[kind]
+                if kind in under.row:
+                    under.remove(kind)
+        for kind, had in before.items():
+            if kind in under.row and had < bins[kind]:
+                under.stuck[under.row[kind]] = False  # it may now exchange with a copy of itself
+            elif kind in bins and kind not in under.row and fill(kind) < capacity:
+                under.wake(under.add(kind))
     return bins
 
 
