@@ -63,6 +63,24 @@ def test_html(spark):
     assert html.unescape("&amp;") == "&"
 
 
+SAID = "<h1>The headline</h1>" + "".join(f"<p>Paragraph {i} of the article says a few words more than a line of a menu would, at least eighty.</p>" for i in range(4))
+SAID_TEXT = "The headline\n" + "\n".join(f"Paragraph {i} of the article says a few words more than a line of a menu would, at least eighty." for i in range(4))
+
+
+def main_of(page):
+    return op2_html.extract(op2_html.parse(page), None)
+
+
+def test_words_of_a_wrapper_do_not_drop_the_article():
+    for open_ in ('<div class="site has-sidebar">', '<div class="content with-sidebar">', '<div class="entry-content no-comments">', '<div id="page" class="layout-menu">', '<div class="sidebar-right">', '<div class="sidebar main">', '<section id="menu-page">'):
+        for inner in (SAID, f"<article>{SAID}</article>", f'<div class="sidebar">about us</div><article>{SAID}</article><div class="comments"><article class="comment">no</article></div>'):
+            assert main_of(f"<html><body>{open_}{inner}</div></body></html>") == SAID_TEXT, (open_, inner)
+    long = "<p>" + "words of readers " * 200 + "</p>"
+    for drop in ('<div class="comments">', '<div class="post-comments">', '<div class="cookie notice">', '<div class="comments"><article class="comment">', '<div class="related"><article>'):
+        assert main_of(f"<html><body><div class=post>{SAID}{drop}{long}</article></div></div></body></html>") == SAID_TEXT, drop
+    assert main_of(f'<html><body><article>{SAID}<div class="ad">buy</div></article><div class="sidebar"><article>teaser</article></div></body></html>') == SAID_TEXT
+
+
 def test_quality(odd, none):
     def brute(t):
         words = re.findall(r"[^\x20\x09-\x0D]+", t or "")

@@ -48,6 +48,12 @@ BOILERPLATE = frozenset(
     "login share sharing social menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars sidenav footer masthead toolbar comment comments commentlist disqus respond replies related recommended recommendations "
     "widget widgets pagination pager skip contentinfo complementary search".split()
 )
+#: Those that a wrapper of the article may have too, for what else it holds; the others name its kind.
+WRAPPING = frozenset("banner menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars sidenav footer header masthead toolbar widget widgets search".split())
+#: What comes after one of these in a class is only said to be there, or not to be.
+MODIFIERS = frozenset("has have with without no not hide hides layout".split())
+#: Unlinked characters from which a block is a paragraph.
+PARAGRAPH = 80
 #: Words that say that an element is the article, or belongs to it.
 ARTICLE = frozenset("article articlebody content entry main post story text body".split())
 
@@ -63,6 +69,7 @@ class Block:
     text: str
     linked: int
     container: int
+    doubt: int = -1
 
 
 @dataclass
@@ -90,20 +97,38 @@ def _unwanted(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}".lower()))
-    return bool(words & BOILERPLATE) or "header" in words and not in_article and not words & ARTICLE
+    return False
+
+
+def _boilerplate(attributes: dict[str, str], in_article: bool) -> set[str]:
+    """The words that mark an element as boilerplate; none if a class, the id or the role of its own says article.
+
+    In a name like post-comments both kinds of words mark one thing, which is boilerplate; a role is not outvoted.
+    """
+    found, saved = set(), False
+    role = set(_WORD.findall(attributes.get("role", "").lower()))
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = _WORD.findall(name)
+        first = next((k for k, w in enumerate(words) if w in MODIFIERS), len(words))
+        own = set(words[:first])
+        marks = own & BOILERPLATE | (own & {"header"} if not in_article and not own & ARTICLE else set())
+        found |= marks
+        saved = saved or not marks and bool(own & ARTICLE)
+    return role & BOILERPLATE | (set() if saved or role & ARTICLE else found)
 
 
 def parse(text: str) -> Page:
-    """Blocks and containers of a page, without what is never the article.  Linear in the page."""
+    """Blocks and containers of a page, without what is never the article.  Linear in the page.
+
+    An element that only its words mark is in doubt until the page is read: it stays if it holds the article.
+    """
     page = Page()
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, container before it, dropped, link
+    stack: list[tuple[str, int, bool, bool, int]] = []  # tag, container before it, dropped, link, doubt before it
+    doubts: list[list] = []  # outer doubt, whether its words may mark a wrapper, whether it holds an article or main
     opened: Counter[str] = Counter()
     last = {'"': text.rfind('"'), "'": text.rfind("'")}
     buffer: list[str] = []
-    state = {"container": -1, "dropped": 0, "linked": 0, "links": 0}
+    state = {"container": -1, "dropped": 0, "linked": 0, "links": 0, "doubt": -1}
 
     def container(step: str, named: bool) -> None:
         up = state["container"]
@@ -116,15 +141,16 @@ def parse(text: str) -> Page:
         if buffer:
             own = " ".join(html.unescape("".join(buffer)).split())
             if own:
-                page.blocks.append(Block(own, min(state["linked"], len(own)), state["container"]))
+                page.blocks.append(Block(own, min(state["linked"], len(own)), state["container"], state["doubt"]))
             buffer.clear()
         state["linked"] = 0
 
     def close() -> None:
-        tag, before, dropped, link = stack.pop()
+        tag, before, dropped, link, doubt = stack.pop()
         opened[tag] -= 1
-        if tag in BLOCKS and not state["dropped"]:
+        if (tag in BLOCKS or doubt != state["doubt"]) and not state["dropped"]:
             flush()
+        state["doubt"] = doubt
         state["container"] = before
         state["dropped"] -= dropped
         state["links"] -= link
@@ -197,23 +223,62 @@ def parse(text: str) -> Page:
                 at = text.find(">", shut.end())
                 at = n if at < 0 else at + 1
             continue
-        dropped = _unwanted(tag, attributes, bool(opened["article"] or opened["main"]))
+        in_article = bool(opened["article"] or opened["main"])
+        dropped = _unwanted(tag, attributes, in_article)
         if dropped and not state["dropped"]:
             flush()
-        before = state["container"]
+        before, doubt = state["container"], state["doubt"]
+        if not dropped and not state["dropped"] and tag not in ("html", "body"):
+            marks = _boilerplate(attributes, in_article) if attributes else None
+            if tag in ("article", "main"):
+                k = doubt if not marks else -1
+                while k >= 0 and not doubts[k][2]:
+                    doubts[k][2] = True
+                    k = doubts[k][0]
+            elif marks:
+                flush()
+                doubts.append([doubt, marks <= WRAPPING, False])
+                state["doubt"] = len(doubts) - 1
         if tag in CONTAINERS and not state["dropped"] and not dropped:
             words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}".lower()))
             container(_step(tag, attributes), tag in ("article", "main") or tag != "body" and bool(words & ARTICLE))
-        stack.append((tag, before, dropped, tag == "a"))
+        stack.append((tag, before, dropped, tag == "a", doubt))
         opened[tag] += 1
         state["dropped"] += dropped
         state["links"] += tag == "a"
     while stack:
         close()
     flush()
+    if doubts:
+        kept = _kept(page, doubts)
+        page.blocks = [b for b in page.blocks if b.doubt < 0 or kept[b.doubt]]
     return page
 
 
+def _kept(page: Page, doubts: list[list]) -> list[bool]:
+    """Whether each element in doubt stays, outer ones first; one inside a dropped one goes with it.
+
+    One with words that a wrapper may have stays if it holds an article or main with more unlinked text than is certain,
+    or most of the page's unlinked text; another only if no paragraph is certain as well.
+    """
+    own, paragraphs = [0] * (len(doubts) + 1), [False] * (len(doubts) + 1)  # the last: outside all
+    for b in page.blocks:
+        n = max(0, len(b.text) - 2 * b.linked)
+        own[b.doubt] += n
+        paragraphs[b.doubt] |= n >= PARAGRAPH
+    inside = list(own)
+    for k in range(len(doubts) - 1, -1, -1):
+        inside[doubts[k][0]] += inside[k]
+    kept = [False] * len(doubts) + [True]
+    for k, (outer, wrapping, holds) in enumerate(doubts):
+        large = 2 * inside[k] > inside[-1]
+        kept[k] = kept[outer] and (large or holds and inside[k] > own[outer]) and (wrapping or not paragraphs[outer])
+        if kept[k]:  # what is certain inside it
+            own[k] += own[outer]
+            paragraphs[k] |= paragraphs[outer]
+    return kept
+
+
 def scores(page: Page) -> list[int]:
     """For each container its characters outside links, a bit less for each level that they lie deeper."""
     out = [0] * len(page.path)
