@@ -81,6 +81,22 @@ def test_words_of_a_wrapper_do_not_drop_the_article():
     assert main_of(f'<html><body><article>{SAID}<div class="ad">buy</div></article><div class="sidebar"><article>teaser</article></div></body></html>') == SAID_TEXT
 
 
+def test_headline_outside_the_inner_container_stays(spark):
+    body = SAID.replace("<h1>The headline</h1>", "") * 8
+    want = "The headline\n" + "\n".join(SAID_TEXT.split("\n")[1:] * 8)
+    pages = [
+        f"<article><h1>The headline</h1><div class='entry-content'>{body}</div></article>",
+        f"<article><div><h1>The headline</h1></div><div><div class='text'>{body}</div></div></article><div><a href=x>Other pages</a></div>",
+        f"<main><h1>The headline</h1><article>{body}</article></main>",
+        f"<h1>The headline</h1><div class='content'>{body}</div>",
+    ]
+    for page in pages:
+        assert main_of(f"<html><body>{page}</body></html>") == want, page
+    assert main_of(f"<html><body><div class='content'>{SAID}</div><div><a href=x>{'Other pages ' * 5}</a></div></body></html>") == SAID_TEXT
+    rows = [(i, "http://one.example/", f"<html><body>{pages[0]}</body></html>") for i in range(3)]
+    assert {r.text for r in op2_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {want}
+
+
 def test_quality(odd, none):
     def brute(t):
         words = re.findall(r"[^\x20\x09-\x0D]+", t or "")

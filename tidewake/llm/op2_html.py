@@ -1,7 +1,7 @@
 """HTML extraction by consensus host paths.
 
-Pass 1 scores the containers of each page and names the best one's generalised path of tags and
-classes.  Spark counts these votes per host, pre-aggregated, so a hot host moves few rows.
+Pass 1 scores the containers of each page, goes from the best one out to the article that it is part of, and names
+the generalised path of tags and classes.  Spark counts these votes per host, pre-aggregated, so a hot host moves few rows.
 Pass 2 extracts every page again from the elements on its host's winning path, or from its
 own best container where the page has none.
 """
@@ -77,6 +77,7 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
     path: list[str] = field(default_factory=list)
+    tag: list[str] = field(default_factory=list)
     named: list[bool] = field(default_factory=list)
 
 
@@ -134,6 +135,7 @@ def parse(text: str) -> Page:
         up = state["container"]
         page.parent.append(up)
         page.path.append((page.path[up] + "/" if up >= 0 else "") + step)
+        page.tag.append(step.partition(".")[0])
         page.named.append(named)
         state["container"] = len(page.path) - 1
 
@@ -291,9 +293,35 @@ def scores(page: Page) -> list[int]:
 
 
 def best(page: Page) -> int:
-    """The container with the highest score; the outermost of equal ones."""
+    """The container with the highest score, the outermost of equal ones; then out to the article that it is part of."""
     s = scores(page)
-    return max(range(len(s)), key=lambda i: (s[i], -i))
+    return _climbed(page, max(range(len(s)), key=lambda i: (s[i], -i)))
+
+
+def _climbed(page: Page, inner: int) -> int:
+    """The article around the container, then the highest ancestor that adds text, not mostly links: up to main, if
+    there is one, or from outside any article to the page."""
+    sizes, linked = [0] * len(page.path), [0] * len(page.path)
+    for b in page.blocks:
+        sizes[b.container] += len(b.text)
+        linked[b.container] += b.linked
+    for i in range(len(sizes) - 1, 0, -1):
+        if page.parent[i] >= 0:
+            sizes[page.parent[i]] += sizes[i]
+            linked[page.parent[i]] += linked[i]
+    up, k = [], inner
+    while k >= 0:
+        up.append(k)
+        k = page.parent[k]
+    tags = [page.tag[k] for k in up]
+    at = tags.index("article") if "article" in tags else 0
+    last = tags.index("main", at) if "main" in tags[at:] else at if "article" in tags else len(up) - 1
+    out = up[at]
+    for k in up[at + 1 : last + 1]:
+        more = sizes[k] - sizes[out]
+        if more and 2 * (linked[k] - linked[out]) < more:
+            out = k
+    return out
 
 
 def extract(page: Page, path: str | None) -> str:
