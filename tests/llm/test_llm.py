@@ -142,6 +142,24 @@ def test_field_on_held_out_lines():
     assert hit / found > 0.95 and hit / real > 0.95
 
 
+def test_long_entities_are_found_whole():
+    field = op4_pii.trained()
+    found = lambda t: {(t[s:e], k) for s, e, k in op4_pii.all_spans(t, field)[1]}
+    codes = ["GB82 WEST 1234 5698 7654 32", "IE29 AIBK 9311 5212 3456 78", "NL91 ABNA 0417 1643 00", "SC18 SSCB 1101 0000 0000 0000 1497 USD", "RU03 0445 2522 5408 1781 0538 0913 1041 9"]
+    for code in codes:
+        assert op4_pii._mod97(code.replace(" ", ""))
+        for text in (f"please pay to iban {code}, thanks", f"account {code}", f"the sum goes to {code} today"):
+            assert (code, "iban") in found(text), text
+    # Wherever a window of a long line ends, what lies there is found whole.
+    for code, kind in ((codes[0], "iban"), ("+47 555 123 4567", "phone"), ("123-45-6789", "id")):
+        for n in range(20, 140, 3):
+            line = "row x25 " + "x1,y2 " * n + code + " x1,y2" * 150
+            assert (code, kind) in found(line), (code, n)
+    key = "aB3-x9Q_k2Z-p7R_m4T-w8Y_c5V-d6S_f1G-h3J_n0L"
+    assert (key, "secret") in found(f"the token: {key} is secret")
+    assert ("123-45-6789", "id") in found("unit AB12 SSN 123-45-6789 here")
+
+
 def test_personal_data(odd, none):
     got = {r.doc_id: r for r in op4_pii.find_personal_data(odd).collect()}
     assert (got[9].n_email, got[9].n_ip, got[9].n_card, got[9].n_phone) == (1, 1, 1, 1) and got[0].spans == ""

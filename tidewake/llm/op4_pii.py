@@ -2,7 +2,7 @@
 
 The base finds e-mail addresses, IP addresses, card and phone numbers by fixed patterns, each in
 time linear in the text.  The field adds spans that no base span overlaps.  It looks at
-islands: runs of tokens that have a digit or an @.  Every candidate segment of an island is scored as a
+islands: runs of tokens that have a digit or an @, and the letters inside an IBAN in groups.  Every candidate segment of an island is scored as a
 whole (its shape, checksums, the words before it); bounded-entity dynamic programming then
 chooses boundaries and types together.  Outside islands nothing can be personal data of
 the kinds below, so plain prose costs one scan.  The weights are learned here, by the exact gradient of
@@ -94,12 +94,17 @@ def base_spans(text: str) -> list[Span]:
 
 # --- the field ---------------------------------------------------------------------------
 
-#: Most tokens of an entity.
-LONGEST = 16
+#: Most tokens of an entity, those of nine groups with blanks between; a key in one run may have more.
+LONGEST = 17
+#: Characters of an entity at most; of an island that is decoded at once, at least, and what is read beyond them.
+ENTITY, WINDOW, OVERLAP = 200, 400, 240
 
 _TOKEN = re.compile(r"[^\W_]+|[^\S]+|[\W_]")
 _CUE = re.compile(r"[^\W\d_]+")
 _HEX = re.compile(r"[0-9a-fA-F]{24,128}")
+_RUN = re.compile(r"[A-Za-z0-9_-]+")
+_GROUP = re.compile(r"[A-Z]{1,6}[.,;:)]?")
+_UNDERWAY = re.compile(r"(?:^|[^\w])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9])*$")
 _KEYLIKE = re.compile(r"[A-Za-z0-9_-]{20,200}")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _FOUR = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
@@ -157,7 +162,7 @@ def span_features(text: str, start: int, end: int, cue: str | None) -> list[str]
 
 def _possible(s: str) -> bool:
     """Whether a span can be an entity at all: enough digits, an address, or a long key."""
-    if len(s) > 200 or s[0].isspace() or s[-1].isspace() or not (s[0].isalnum() or s[0] in "+(") or not s[-1].isalnum():
+    if len(s) > ENTITY or s[0].isspace() or s[-1].isspace() or not (s[0].isalnum() or s[0] in "+(") or not s[-1].isalnum():
         return False
     if "@" in s:
         return bool(_EMAIL.fullmatch(s))
@@ -172,20 +177,31 @@ def candidates(text: str, start: int, end: int) -> tuple[int, list[tuple[int, in
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
     words = _CUE.findall(text, max(0, start - 40), start)
     cue = next((_CUE_OF[w.lower()] for w in reversed(words[-4:]) if w.lower() in _CUE_OF), None)
-    out = []
+    out, run_end = [], start
     for i, (a, _) in enumerate(tokens):
         first = text[a]
+        if " " in text[a - 1 : a] and (m := _CUE.match(text, a)) and m[0].lower() in _CUE_OF and not text[m.end() : m.end() + 1].isalnum():
+            cue = _CUE_OF[m[0].lower()]  # a group of letters inside the island
         if not (first.isalnum() or first in "+("):
             continue
         for j in range(i, min(len(tokens), i + LONGEST)):
             b = tokens[j][1]
             if _possible(text[a:b]):
                 out.append((i, j + 1, a, b, span_features(text, a, b, cue)))
+        if a >= run_end and (m := _RUN.match(text, a, end)):  # the whole of a run of more tokens
+            run_end = m.end()
+            b = a + len(m[0].rstrip("_-"))
+            if b - a <= ENTITY:
+                j = i
+                while tokens[j][1] < b:
+                    j += 1
+                if j >= i + LONGEST and tokens[j][1] == b and _possible(text[a:b]):
+                    out.append((i, j + 1, a, b, span_features(text, a, b, cue)))
     return len(tokens), out
 
 
 def islands(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of tokens with a digit or @, cut after 64 tokens' worth at a blank."""
+    """Runs of tokens with a digit or @, and of groups of capitals where an IBAN may be under way."""
     at, n = 0, len(text)
     while True:
         m = _SEED.search(text, at)
@@ -200,13 +216,35 @@ def islands(text: str) -> Iterator[tuple[int, int]]:
             end = stop.start() if stop else n
             nxt = _SPACE.search(text, end + 1) if end < n else None
             until = nxt.start() if nxt else n
-            if end >= n or text[end] not in " \t" or not _SEED.search(text, end + 1, until) or end - start > 400:
+            if end >= n or text[end] not in " \t":
+                break
+            if not _SEED.search(text, end + 1, until) and not (_GROUP.fullmatch(text, end + 1, until) and _UNDERWAY.search(text[max(start, end - 48) : end])):
                 break
             end = until
         yield start, end
         at = end
 
 
+def decoded(text: str, start: int, end: int, field: Field) -> Iterator[Span]:
+    """The field's spans in an island.  A long one is decoded in windows: what starts in the last ``OVERLAP`` characters of
+    a window, more than an entity has, is left to the next, which begins there or after the last span."""
+    at = start
+    while at < end:
+        stop, upto = end, end
+        if end - at > WINDOW + OVERLAP and (m := _SPACE.search(text, at + WINDOW, end)):
+            beyond = _SPACE.search(text, m.start() + OVERLAP, end)
+            if beyond:
+                upto, stop = m.start(), beyond.start()
+        size, segments = candidates(text, at, stop)
+        nxt = upto
+        for k, y in field.decode(size, segments) if segments else ():
+            s, e = segments[k][2], segments[k][3]
+            if s < upto:
+                yield s, e, KINDS[y]
+                nxt = max(nxt, e)
+        at = nxt
+
+
 _SPACE = re.compile(r"\s")
 
 
@@ -306,8 +344,9 @@ def examples(n: int, seed: int) -> list[tuple[str, list[Span]]]:
         return full if r.random() < 0.5 or len(full) != 16 else r.choice(" -").join(full[i : i + 4] for i in range(0, 16, 4))
 
     def iban() -> str:
-        body = r.choice(["DE", "FR", "ES", "GB", "NL", "NO"])
-        own = digits(r.randint(12, 20))
+        body = r.choice(["DE", "FR", "ES", "GB", "NL", "NO", "IE", "MT", "RU"])
+        own = "".join(r.choice("ABCDEFGHIKLMNORSTUVW") for _ in range(4)) if body in ("GB", "NL", "IE", "MT") else ""
+        own += digits(r.randint(25, 29) if body == "RU" else r.randint(12, 20))
         full = next(f"{body}{k:02d}{own}" for k in range(100) if _mod97(f"{body}{k:02d}{own}"))
         return full if r.random() < 0.5 else " ".join(full[i : i + 4] for i in range(0, len(full), 4))
 
@@ -392,14 +431,10 @@ def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     firsts = [s[0] for s in taken]
     more = []
     for a, b in islands(text):
-        size, segments = candidates(text, a, b)
-        if not segments:
-            continue
-        for k, y in field.decode(size, segments):
-            s, e = segments[k][2], segments[k][3]
+        for s, e, kind in decoded(text, a, b, field):
             near = taken[max(0, int(np.searchsorted(firsts, s)) - 4) : int(np.searchsorted(firsts, e))]
             if not any(x < e and s < z for x, z, _ in near):
-                more.append((s, e, KINDS[y]))
+                more.append((s, e, kind))
     return base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
