@@ -537,7 +537,7 @@ def ship_day_features(s, d):
 def unusual_days(s, d):
     from dataclasses import replace
 
-    c = replace(CONFIG, day_slots=1, forest_days=20, forest_trees=50)
+    c = replace(CONFIG, day_slots=1, forest_days=20)
     return anomalies.unusual_days(t.readings(s, d), _vessels(s, d), c)
 
 
