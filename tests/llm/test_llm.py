@@ -379,3 +379,44 @@ def test_pipeline_stages(spark):
         assert out.count() <= docs.count()
     kept = op3_quality.judge(docs).filter(F.col("kept")).count()
     assert corpus_pipeline.quality(spark, docs, "").count() == kept
+
+
+def test_pipeline_runs_whole(spark, tmp_path):
+    """run() against a composition of its stages by brute force, with shared ids, no ids, copies and leaks."""
+    import corpus_pipeline
+
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = [r for r in op3_quality.kept_documents(given).collect()][:40]
+    rows = [r.asDict() for r in kept] + [kept[0].asDict() | {"doc_id": kept[1].doc_id, "text": kept[5].text.upper() + " a b c"}]
+    rows += [kept[2].asDict() | {"doc_id": None}, kept[3].asDict()]
+    rows += [r.asDict() | {"doc_id": kept[6].doc_id} for r in kept[6:12]]
+    for r in rows[12:16]:
+        r["doc_id"] = None
+    item = " ".join(kept[20].text.split()[10:30])
+    spark.createDataFrame(rows, given.schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    rows = [r.asDict() for r in op3_quality.kept_documents(spark.createDataFrame(rows, given.schema)).collect()]
+    bags = []
+    for r in rows:
+        w = r["text"].lower().split()
+        bags.append(Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))))
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values()):
+                root = [root[j] if x == root[i] else x for x in root]
+    order = lambda i: (rows[i]["doc_id"] is None, rows[i]["doc_id"], op9_minhash.key_of(op9_minhash.words_of(rows[i]["text"])), rows[i]["text"])
+    stay = [rows[min((i for i in range(len(rows)) if root[i] == c), key=order)] for c in set(root)]
+    clean = [r for r in stay if op10_decontaminate.normal(item) not in op10_decontaminate.normal(r["text"])]
+    assert len(rows) > len(stay) > len(clean) > 20
+    field, tok, want = op4_pii.trained(), load("word_bpe_49k.json"), Counter()
+    for r in clean:
+        ids = np.asarray([*tok.encode(op4_pii.masked(r["text"], op4_pii.all_spans(r["text"], field)[1]), add_special_tokens=False).ids, 1], "<u4")
+        want.update((r["doc_id"], k // 4096, len(ids[k : k + 4096]), zlib.crc32(ids[k : k + 4096].tobytes())) for k in range(0, len(ids), 4096))
+    assert Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in got) == want
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert ends.get(r.sequence_id, 0) == r.offset and r.offset + r.length <= 4096
+        ends[r.sequence_id] = r.offset + r.length
