@@ -420,3 +420,26 @@ def test_pipeline_runs_whole(spark, tmp_path):
     for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
         assert ends.get(r.sequence_id, 0) == r.offset and r.offset + r.length <= 4096
         ends[r.sequence_id] = r.offset + r.length
+
+
+def test_shards_and_sequences_written_from_skewed_rows(spark, tmp_path):
+    r = random.Random(3)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, " ".join(r.choice("ab cd ef gh".split()) for _ in range(r.randint(0, 60)))) for i in range(300)]
+    rows += [(7, "the same")] * 90 + [(1000, None), (1001, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    op7_shards.write_shards(docs, str(tmp_path / "s"), 7)
+    files = spark.read.parquet(str(tmp_path / "s")).collect()
+    size = lambda x: (x.doc_id, len((x.text or "").encode()) + 8, zlib.crc32((x.text or "").encode()), x["shard"], x.slot)
+    planned = Counter((x.doc_id, x["size"], x.text_crc32, x["shard"], x.slot) for x in op7_shards.assign_shards(docs, 7).collect())
+    assert Counter(map(size, files)) == planned and Counter((x.doc_id, x.text) for x in files) == Counter(rows)
+
+    tok = load("word_bpe_49k.json")
+    want = Counter()
+    for d, t in rows:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
+        want.update((d, tuple(ids[k : k + 32])) for k in range(0, len(ids), 32))
+    got = Counter()
+    for x in op8_packing.sequences(docs, capacity=32).collect():
+        assert len(x.ids) <= 32 and x.offsets[0] == 0
+        got.update((d, tuple(x.ids[a:b])) for d, a, b in zip(x.doc_ids, x.offsets, [*x.offsets[1:], len(x.ids)]))
+    assert got == want
