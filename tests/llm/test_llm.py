@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.llm import op1_binary, op2_html, op3_quality, op4_pii, op5_chat, op6_counts, op7_shards, op8_packing, op9_minhash, op10_decontaminate
+from tidewake.llm import op1_binary, op2_html, op3_quality, op4_pii, op5_chat, op6_counts, op7_shards, op8_packing, op9_minhash, op10_decontaminate, tokens
 from tidewake.llm.tokens import load
 
 LONG = "word " * 30_000 + "end\n" * 3 + "x" * 50_000
@@ -45,9 +46,53 @@ def test_binary(odd, none):
 def test_codes_round_trip():
     r = np.random.default_rng(3)
     docs = [r.integers(0, 1 << int(r.integers(1, 32)), int(n), dtype=np.uint32) for n in r.integers(0, 50, 40)]
-    parts = [op1_binary.encode_ids(d) for d in docs]
-    back = op1_binary.decode_block(b"".join(c for c, _ in parts), b"".join(x for _, x in parts), np.array([len(d) for d in docs]))
-    assert (back == np.concatenate(docs)).all()
+    counts = np.array([len(d) for d in docs])
+    control, data, control_ends, data_ends = op1_binary.encode_ids(np.concatenate(docs), counts)
+    assert (op1_binary.decode_block(control.tobytes(), data.tobytes(), counts) == np.concatenate(docs)).all()
+    for k, d in enumerate(docs):  # and each document from its own bytes
+        c, x = (flat[(ends[k - 1] if k else 0) : ends[k]].tobytes() for flat, ends in ((control, control_ends), (data, data_ends)))
+        assert (op1_binary.decode_block(c, x, counts[k : k + 1]) == d).all()
+
+
+PARTS = ["ab", " ", "é", "\n", ".", ",", "\t", "'s", "À", "İ", "\xa0", "e\u0301", "Ω", "漢", "12", "<|endoftext|>", "<|startoftext|>", "  ", "\n\n", "!?", "ǅ", "ŉ", "\u3000", "ﬁ", "the", "Word", "ſ", "\x1c", "\x85", "ª"]
+
+
+@pytest.mark.parametrize(("name", "cut"), [("byte_bpe_50k.json", tokens.BYTE_LEVEL), ("word_bpe_49k.json", tokens.WORDS)])
+def test_pieces_encode_as_the_library_does(name, cut, monkeypatch):
+    tok, r = load(name), random.Random(4)
+    texts = [None, "", *("".join(r.choice(PARTS) for _ in range(r.randint(0, 14))) for _ in range(4000))]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    def check(own):
+        ids, counts = own.encode(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == want
+
+    check(tokens.Encoder(name, cut))
+    check(tokens.Encoder(name, cut, cache=50))  # most is forgotten all the time
+    monkeypatch.setattr(tokens, "STRETCH", 3)  # every text is a long one
+    check(tokens.Encoder(name, cut))
+    if cut.byte_level:
+        assert op6_counts.Counter(name, cache=50).counts(pa.array(texts, pa.string())).tolist() == [len(x) for x in want]
+
+
+def test_blocks_over_many_parts(spark):
+    """Rows of one id, of none and equal rows lie in several parts and blocks, in order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"some words {i % 5} " * (i % 40)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        path = op1_binary.scratch_path(spark, "test")
+        op1_binary.write_tokens(docs, path)
+        got = op1_binary.read_tokens(spark, path, digest=False).orderBy("start").collect()
+        assert spark.read.parquet(f"{path}/blocks").filter("exists(doc_ids, d -> d IS NULL)").select("part").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
+    tok = load("byte_bpe_50k.json")
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == Counter((d, (*tok.encode(t, add_special_tokens=False).ids, 2)) for d, t in rows)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1]]
+    assert [r.doc_id for r in got] == sorted([r.doc_id for r in got], key=lambda d: (d is not None, d))
 
 
 PAGE = '<html><head><title>T</title><script>x("</p>")</script></head><body><nav><a href=x>menu</a></nav><div class="ad">buy</div><article class="post-{i}"><h1>Head &amp; {i}</h1><p>First   text &lt;here&gt;<br>more<p>Second<div class=comments>no</div></article><footer>foot'
@@ -193,6 +238,13 @@ def test_counts(odd, none):
     assert got == want and op6_counts.count_tokens(none).count() == 0
 
 
+def test_long_words_are_counted_as_the_library_does():
+    own, tok, r = op6_counts.PairRanks("byte_bpe_50k.json"), load("byte_bpe_50k.json"), random.Random(6)
+    words = ["".join(r.choice(letters) for _ in range(n)) for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "x", "éaΩ") for n in (0, 1, 200, 255, 257, 3000)]
+    words.append("".join(r.choice("etaoinshrdlu") for _ in range(200_000)))
+    assert op6_counts.merged_counts(words, own).tolist() == [len(tok.encode(w, add_special_tokens=False).ids) for w in words]
+
+
 def test_shards(odd, none, tmp_path, spark):
     for n in (1, 2, 3, 17, 1000):
         assert sorted(op7_shards.permuted(np.arange(n), n, 5)) == list(range(n))

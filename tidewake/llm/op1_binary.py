@@ -22,29 +22,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks, drop_path, scratch_path, shuffle_partitions, stage
-from tidewake.llm.tokens import encoder
+from tidewake.llm.common import drop_path, scratch_path, shuffle_partitions, slices, stage
+from tidewake.llm.tokens import BLOCK, encoder, model_of
 
 #: Ids that make a block full; a block has whole documents, one at least.
 BLOCK_IDS = 1 << 16
+#: Sampled rows for each part, from which the parts' borders are taken.
+SAMPLED = 200
 
 #: For each control byte the lengths of its four codes.
 LENGTHS = (((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3) + 1).astype(np.uint8)
 
 
-def encode_ids(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of one document's ranks, each under 2**32."""
+def encode_ids(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and data of documents with ``counts`` ranks each (under 2**32), and where each document's end in both."""
     r = ranks.astype("<u4")
     extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    padded = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    padded[: len(r)] = extra
+    held = -(-counts // 4)
+    padded = np.zeros(4 * int(held.sum()), np.uint8)
+    spare = 4 * held - counts
+    padded[np.arange(len(r)) + np.repeat(np.cumsum(spare) - spare, counts)] = extra
     four = padded.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     kept = np.arange(4, dtype=np.uint8)[None, :] <= extra[:, None]
-    return control.tobytes(), r.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    ends = np.r_[0, np.cumsum(extra, dtype=np.int64) + np.arange(1, len(r) + 1)]
+    return control, r.view(np.uint8).reshape(-1, 4)[kept], np.cumsum(held), ends[np.cumsum(counts)]
 
 
 def decode_block(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
@@ -69,42 +76,58 @@ def decode_block(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    tail = np.asarray([end_id], "<u4").tobytes()
+def _binary(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary array whose values lie in ``flat`` (bytes) one after another."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, and where each value begins; the last one is the end."""
+    own = column.cast(pa.large_binary())
+    at = np.frombuffer(own.buffers()[1], np.int64, len(own) + 1, own.offset * 8)
+    held = own.buffers()[2]
+    return (np.frombuffer(held, np.uint8) if held else np.zeros(0, np.uint8)), at
+
+
+def _kind(tokenizer: str, end_id: int) -> str:
+    """The narrowest type that holds all ids of the tokenizer."""
+    model = model_of(tokenizer)
+    most = max(end_id, *model["model"]["vocab"].values(), *(t["id"] for t in model["added_tokens"]))
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame:
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, words=False)
         for batch in batches:
-            ids = batch.column("doc_id")
-            for first, texts in blocks(batch, "text"):
-                raw = [x + tail for x in enc.ids(texts)]
-                narrow = [_narrow(x) for x in raw]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)).cast(pa.int64()), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(narrow, pa.binary())],
-                    names=["doc_id", "n_tokens", "ids"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
-
+            doc_ids, own = batch.column("doc_id").cast(pa.int64()), batch.column("text")
+            for first, n in slices([own], BLOCK):
+                ids, counts = enc.encode(own.slice(first, n))
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                ends = np.cumsum(counts + 1)
+                raw = memoryview(ids.view(np.uint8))
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(first, n), pa.array(counts + 1, pa.int64()), pa.array(crc, pa.int64()), _binary(ids.astype(kind).view(np.uint8), width * ends)], names=["doc_id", "n_tokens", "crc", "ids"])
 
-def _narrow(raw: bytes) -> bytes:
-    """Width in a first byte, then the ids: two bytes each where all fit."""
-    ids = np.frombuffer(raw, "<u4")
-    return b"\x02" + ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else b"\x04" + raw
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, crc long, ids binary")
 
 
-def _wide(held: bytes) -> np.ndarray:
-    return np.frombuffer(held, "<u2" if held[0] == 2 else "<u4", offset=1)
+def _flat(column: pa.Array, kind: str) -> np.ndarray:
+    """All ids of a column, document by document."""
+    flat, at = _bytes(column)
+    return flat[at[0] : at[-1]].view(kind)
 
 
-def _frequencies(tokens: DataFrame) -> list[tuple[int, int]]:
+def _frequencies(tokens: DataFrame, kind: str) -> list[tuple[int, int]]:
     """(id, count) over the corpus: summed in each task first; one row per id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                n = np.bincount(np.concatenate([_wide(x) for x in batch.column("ids").slice(k, 256).to_pylist()]))
+            for first, k in slices([batch.column("ids")]):
+                n = np.bincount(_flat(batch.column("ids").slice(first, k), kind))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
@@ -115,63 +138,111 @@ def _frequencies(tokens: DataFrame) -> list[tuple[int, int]]:
     return [(r["id"], r["n"]) for r in counts.collect()]
 
 
+def _place(doc_id: np.ndarray, none: np.ndarray, crc: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Keys that sort as (doc_id, null first; crc; tie) do."""
+    out = np.zeros(len(doc_id), [("id", "u8"), ("crc", "u8")])
+    out["id"] = np.where(none, np.uint64(0), doc_id.astype(np.uint64) ^ np.uint64(1 << 63))
+    out["crc"] = ((~none).astype(np.uint64) << np.uint64(63)) | (crc.astype(np.uint64) << np.uint64(24)) | tie.astype(np.uint64)
+    return out
+
+
+def _keys(batch: pa.RecordBatch, tie: np.ndarray) -> np.ndarray:
+    own = batch.column("doc_id")
+    return _place(pc.fill_null(own, 0).to_numpy(), own.is_null().to_numpy(zero_copy_only=False), batch.column("crc").to_numpy(), tie)
+
+
+def _ties(seed: int, at: int, n: int) -> np.ndarray:
+    """24 bits for the rows ``at`` to ``at + n`` of a task: rows alike in all else are dealt out by them."""
+    x = (np.arange(at, at + n, dtype=np.uint64) + np.uint64(seed << 40)) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(31))) >> np.uint64(40)
+
+
+def _borders(tokens: DataFrame, parts: int) -> np.ndarray:
+    """At most ``parts`` - 1 keys that divide the rows about evenly, from a sample of about ``SAMPLED`` rows for each part.
+
+    They decide how much a task has, not the result.
+    """
+    rows = tokens.count()
+    share = min(1.0, SAMPLED * parts / max(1, rows))
+    some = tokens.select("doc_id", "crc").sample(share, seed=7).toArrow()
+    batch = some.combine_chunks().to_batches()
+    if not batch:
+        return np.zeros(0, [("id", "u8"), ("crc", "u8")])
+    keys = np.sort(_keys(batch[0], _ties(1 << 20, 0, batch[0].num_rows)), order=("id", "crc"))
+    return np.unique(keys[np.arange(1, parts) * len(keys) // parts])
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2) -> None:
     """Encode ``text`` of ``docs`` (doc_id, text, ...) and write the binary table at ``path``.
 
     Null texts are empty and have the end id only.  Rows are written by ascending doc_id (null
-    first), rows of one doc_id by their ids; repeated rows are all kept; other columns are not
-    read.  An empty table makes an empty file set.
+    first), rows of one doc_id by the crc32 of their ids; repeated rows are all kept; other columns are not
+    read.  An empty table makes an empty file set.  Rows that share a doc_id, or have none, may lie in several parts.
     """
     spark = docs.sparkSession
-    tokens, held_at = stage(_tokenised(docs, tokenizer, end_id), "tokens")
-    counts = _frequencies(tokens)
+    kind = _kind(tokenizer, end_id)
+    tokens, held_at = stage(_tokenised(docs, tokenizer, end_id, kind), "tokens")
+    counts = _frequencies(tokens, kind)
     by_rank = sorted(counts, key=lambda x: (-x[1], x[0]))
     id_of = [i for i, _ in by_rank]
     spark.createDataFrame(list(enumerate(id_of)), "rank long, id long").coalesce(1).write.mode("overwrite").parquet(f"{path}/ranks")
     rank_of = np.zeros(max(id_of, default=0) + 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
     parts = shuffle_partitions(spark)
-    cuts = tokens.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 20 * parts).alias("c")).first()["c"]
-    cuts = np.unique(np.asarray(cuts if cuts is not None else [], np.int64))
+    borders = _borders(tokens, parts)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            coded_ = [encode_ids(rank_of[_wide(held.as_py())]) for held in batch.column("ids")]
-            part = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in batch.column("doc_id").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), batch.column("doc_id"), batch.column("n_tokens"), pa.array([c for c, _ in coded_], pa.binary()), pa.array([x for _, x in coded_], pa.binary())],
-                names=["part", "doc_id", "n_tokens", "control", "data"],
-            )
+            part = np.searchsorted(borders, _keys(batch, _ties(task, at, batch.num_rows)), "right").astype(np.int32)
+            at += batch.num_rows
+            for first, k in slices([batch.column("ids")]):
+                own = batch.slice(first, k)
+                n = own.column("n_tokens").to_numpy()
+                control, data, control_ends, data_ends = encode_ids(rank_of[_flat(own.column("ids"), kind)], n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[first : first + k]), *(own.column(c) for c in ("doc_id", "crc", "n_tokens")), _binary(control, control_ends), _binary(data, data_ends)],
+                    names=["part", "doc_id", "crc", "n_tokens", "control", "data"],
+                )
 
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, start = None, 0, 0
-        docs_, lengths, controls, codes, ids = [], [], [], [], 0
-
-        def full() -> pa.RecordBatch:
-            c, x = b"".join(controls), b"".join(codes)
+        """Consecutive rows of a part until they have ``BLOCK_IDS`` ids; a batch's last rows wait for the next."""
+        held: list[pa.RecordBatch] = []
+        part, number, start, waiting = None, 0, 0, 0
+
+        def made(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            own = [[r.column(c) for r in rows] for c in ("doc_id", "n_tokens", "control", "data")]
+            flat = [pa.concat_arrays(x) for x in own[:2]]
+            joined = [b"".join(f[a[0] : a[-1]].tobytes() for f, a in map(_bytes, x)) for x in own[2:]]
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), pa.array([docs_], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([c], pa.binary()), pa.array([x], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in flat), *(pa.array([x], pa.binary()) for x in joined)],
                 names=["part", "block", "start", "doc_ids", "n_tokens", "control", "data"],
             )
 
         for batch in batches:
-            for row in zip(*(batch.column(k) for k in ("part", "doc_id", "n_tokens", "control", "data"))):
-                own, doc, n, control, data = (x.as_py() for x in row)
-                if docs_ and (own != part or ids >= BLOCK_IDS):
-                    yield full()
-                    number, start = (number + 1, start + ids) if own == part else (0, 0)
-                    docs_, lengths, controls, codes, ids = [], [], [], [], 0
-                part = own
-                docs_.append(doc)
-                lengths.append(n)
-                controls.append(control)
-                codes.append(data)
-                ids += n
-        if docs_:
-            yield full()
-
-    laid = tokens.mapInArrow(coded, "part int, doc_id long, n_tokens long, control binary, data binary")
-    laid = laid.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n_tokens", "control", "data")
+            parts_, ends = batch.column("part").to_numpy(), np.cumsum(batch.column("n_tokens").to_numpy())
+            first = 0
+            while first < batch.num_rows:
+                own = int(parts_[first])
+                if held and own != part:
+                    yield made(held)
+                    held, waiting = [], 0
+                if own != part:
+                    part, number, start = own, 0, 0
+                before = int(ends[first - 1]) if first else 0
+                until = int(np.searchsorted(parts_, own, "right"))
+                last = min(until, 1 + int(np.searchsorted(ends, before + BLOCK_IDS - waiting)))
+                held.append(batch.slice(first, last - first))
+                waiting += int(ends[last - 1]) - before
+                if waiting >= BLOCK_IDS:
+                    yield made(held)
+                    number, start, held, waiting = number + 1, start + waiting, [], 0
+                first = last
+        if held:
+            yield made(held)
+
+    laid = tokens.mapInArrow(coded, "part int, doc_id long, crc long, n_tokens long, control binary, data binary")
+    laid = laid.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "crc", "n_tokens", "control", "data")
     made = laid.mapInArrow(blocked, "part int, block int, start long, doc_ids array<long>, n_tokens array<long>, control binary, data binary")
     made.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/blocks")
     drop_path(spark, held_at)

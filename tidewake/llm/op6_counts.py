@@ -3,32 +3,29 @@
 All pre-tokens of a block that the worker has not met are held in one flat array of symbols
 with the number of their sequence.  In each round every sequence's lowest-ranked adjacent
 pair is merged, in all sequences at once, until none is left; the symbols that survive are
-counted.  No tokenizer library is used for the merging.
+counted.  A long sequence has as many rounds as it has different pairs, so there a round looks only at the pairs
+of the lowest rank and their neighbours.  No tokenizer library is used for the merging.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tidewake.llm.common import blocks
-from tidewake.llm.tokens import byte_level_pieces, byte_level_text, model_of
+from tidewake.llm.common import slices
+from tidewake.llm.tokens import BLOCK, BYTE_LEVEL, MARKS, Pieces, byte_letters, is_odd, model_of, odd_pieces, sorted_out, stretches
 
 _NONE = np.int64(1 << 40)
-
-
-def _byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: printable ones stand for
-    themselves, the others take code points from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+#: Bytes of words that are merged together, and of a word that is merged by itself.
+TOGETHER, LONG = 1 << 18, 256
 
 
 class PairRanks:
@@ -38,7 +35,7 @@ class PairRanks:
         model = model_of(name)["model"]
         vocab = model["vocab"]
         self.size = np.int64(max(vocab.values()) + 1)
-        self.of_byte = np.array([vocab[c] for c in _byte_letters()], np.int64)
+        self.of_byte = np.array([vocab[c] for c in byte_letters()], np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([vocab[a] * int(self.size) + vocab[b] for a, b in pairs], np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
@@ -51,13 +48,36 @@ class PairRanks:
         return np.where(self.keys[at] == key, self.order[at], _NONE)
 
 
+def _every_other(at: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Of runs of places, each the one that ``follows`` the place before it, the first, third, ...: pairs that overlap (x x x) are merged so."""
+    i, linked = np.arange(len(at)), np.zeros(len(at), np.bool_)
+    linked[1:] = follows[:-1] == at[1:]
+    run = np.maximum.accumulate(np.where(linked, 0, i))
+    return at[(i - run) % 2 == 0]
+
+
 def merged_counts(words: list[str], pairs: PairRanks) -> np.ndarray:
     """Symbols left of each word after all merges; an empty word has none."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     n = np.array([len(x) for x in raw], np.int64)
-    out = n.copy()
+    out = np.zeros(len(raw), np.int64)
+    short = np.flatnonzero(n <= LONG)
+    for i in np.flatnonzero(n > LONG).tolist():
+        out[i] = long_count(pairs.of_byte[np.frombuffer(raw[i], np.uint8)], pairs)
+    ends = np.cumsum(n[short])
+    first = 0
+    while first < len(short):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + TOGETHER, "right")))
+        own = short[first:last]
+        out[own] = _together([raw[i] for i in own.tolist()], pairs)
+        first = last
+    return out
+
+
+def _together(raw: list[bytes], pairs: PairRanks) -> np.ndarray:
+    out = np.array([len(x) for x in raw], np.int64)
     symbols = pairs.of_byte[np.frombuffer(b"".join(raw), np.uint8)]
-    seq = np.repeat(np.arange(len(words)), n)
+    seq = np.repeat(np.arange(len(raw)), out)
     while len(symbols):
         rank = np.full(len(symbols), _NONE)
         same = np.flatnonzero(seq[:-1] == seq[1:])
@@ -66,14 +86,8 @@ def merged_counts(words: list[str], pairs: PairRanks) -> np.ndarray:
         lengths = np.diff(np.r_[starts, len(symbols)])
         low = np.minimum.reduceat(rank, starts)
         out[seq[starts]] = lengths
-        low_here = np.repeat(low, lengths)
-        chosen = (rank == low_here) & (rank < _NONE)
-        # In a run of overlapping pairs (x x x) the first, third, ... are merged.
-        i = np.arange(len(chosen))
-        begins = chosen & ~np.r_[False, chosen[:-1]]
-        run = np.maximum.accumulate(np.where(begins, i, 0))
-        chosen &= (i - run) % 2 == 0
-        at = np.flatnonzero(chosen)
+        at = np.flatnonzero((rank == np.repeat(low, lengths)) & (rank < _NONE))
+        at = _every_other(at, at + 1)
         symbols[at] = pairs.made[rank[at]]
         keep = np.repeat(low < _NONE, lengths)  # finished sequences leave
         keep[at + 1] = False
@@ -81,6 +95,49 @@ def merged_counts(words: list[str], pairs: PairRanks) -> np.ndarray:
     return out
 
 
+def long_count(symbols: np.ndarray, pairs: PairRanks) -> int:
+    """Symbols left of one long sequence: each round merges the pairs of the lowest rank and ranks their neighbours anew."""
+    n = len(symbols)
+    symbols, after, before = symbols.copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
+    rank = np.full(n, _NONE)  # of the pair that begins at a place; a place that was merged away has none
+    waiting: dict[int, list[np.ndarray]] = {}
+    order: list[int] = []
+
+    def found(places: np.ndarray) -> None:
+        some = places[rank[places] < _NONE]
+        some = some[np.argsort(rank[some], kind="stable")]
+        own, first = np.unique(rank[some], return_index=True)
+        for r, group in zip(own.tolist(), np.split(some, first[1:])):
+            if r not in waiting:
+                waiting[r] = []
+                heappush(order, r)
+            waiting[r].append(group)
+
+    if n > 1:
+        rank[:-1] = pairs.ranks(symbols[:-1], symbols[1:])
+        found(np.arange(n - 1))
+    heapify(order)
+    left = n
+    while order:
+        r = heappop(order)
+        at = np.unique(np.concatenate(waiting.pop(r)))
+        at = at[rank[at] == r]
+        if not len(at):
+            continue
+        at = _every_other(at, after[at])
+        gone = after[at]
+        symbols[at], rank[gone], left = pairs.made[r], _NONE, left - len(at)
+        after[at] = after[gone]
+        inner = after[at] < n
+        before[after[at][inner]] = at[inner]
+        changed = np.unique(np.concatenate([at, before[at][before[at] >= 0]]))
+        rank[changed] = _NONE
+        paired = changed[after[changed] < n]
+        rank[paired] = pairs.ranks(symbols[paired], symbols[after[paired]])
+        found(paired)
+    return left
+
+
 class Counter:
     """Counts of tokens, each distinct piece once per worker."""
 
@@ -91,26 +148,48 @@ class Counter:
         self.split = regex.compile("|".join(map(regex.escape, self.special)))
         self.known: dict = {}
 
-    def counts(self, texts: list[str]) -> list[int]:
-        extra, cut = [], []
-        for t in texts:
-            if any(s in t for s in self.special):
-                parts = self.split.split(t)
-                extra.append(len(parts) - 1)
-                cut.append([p for part in parts for p in byte_level_pieces(part)])
-            else:
-                extra.append(0)
-                cut.append(byte_level_pieces(t))
+    def _counted(self, pieces: list) -> np.ndarray:
+        """Tokens of each of the pieces, which are learned where they are new."""
         if len(self.known) > self.cache:
             self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i : i + 20_000])
-        get = self.known.__getitem__
-        return [e + sum(map(get, c)) for e, c in zip(extra, cut)]
+        self._learn([p for p in pieces if p not in self.known])
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _plain(self, texts: pa.Array, begins: np.ndarray | None = None) -> np.ndarray:
+        own = Pieces.of(texts, BYTE_LEVEL, begins)
+        return own.sums(self._counted(own.distinct))
+
+    def _other(self, text: str) -> int:
+        parts = self.split.split(text)
+        total = len(parts) - 1
+        for part in parts:
+            for stretch, begins in stretches(part):
+                if is_odd(stretch):
+                    pieces = list(odd_pieces(stretch if begins else " " + stretch))
+                    total += int(self._counted(pieces).sum())
+                else:
+                    total += int(self._plain(pa.array([stretch], pa.string()), np.array([begins]))[0])
+        return total
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text; a null text is empty."""
+        texts, plain = sorted_out(texts, BYTE_LEVEL, self.special)
+        out = np.zeros(len(texts), np.int64)
+        out[plain] = self._plain(texts.filter(pa.array(plain)))
+        out[~plain] = [self._other(t) for t in texts.filter(pa.array(~plain)).to_pylist()]
+        return out
+
+    def _words(self, piece: str | tuple[str]) -> list[str]:
+        """The pre-tokens of a piece."""
+        if type(piece) is str and piece:
+            if BYTE_LEVEL.plain(piece) and piece[0] != "\n":
+                return [" " + piece]
+            if piece[-1] in MARKS and len(piece) > 1 and piece[0] != "\n" and BYTE_LEVEL.plain(piece[:-1]):
+                return [" " + piece[:-1], piece[-1]]
+        return self.pattern.findall(BYTE_LEVEL.text(piece))
 
     def _learn(self, pieces: list) -> None:
-        words = [self.pattern.findall(byte_level_text(p)) for p in pieces]
+        words = list(map(self._words, pieces))
         distinct = list(set().union(*words))
         n = dict(zip(distinct, merged_counts(distinct, self.pairs).tolist()))
         for piece, own in zip(pieces, words):
@@ -133,11 +212,12 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(tokenizer)
         for batch in batches:
-            ids = batch.column("doc_id")
-            for first, texts in blocks(batch, "text"):
-                n = own.counts(texts)
+            ids, texts = batch.column("doc_id").cast(pa.int64()), batch.column("text")
+            for first, rows in slices([texts], BLOCK):
+                some = texts.slice(first, rows)
+                n = own.counts(some)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)).cast(pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
+                    [ids.slice(first, rows), pc.fill_null(pc.binary_length(some), 0).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks, positioned, stage
-from tidewake.llm.tokens import encoder
+from tidewake.llm.common import positioned, slices, stage
+from tidewake.llm.tokens import BLOCK, encoder
 
 Kind = tuple[tuple[int, int], ...]  # (length, times), falling
 
@@ -238,24 +238,26 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids): documents over ``capacity`` ids are cut."""
-    tail = np.asarray([end_id], "<u4").tobytes()
-    step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, words=True)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for first, texts in blocks(batch, "text"):
-                rows = []
-                for d, raw in zip(ids[first:], enc.ids(texts)):
-                    raw += tail
-                    for k, at in enumerate(range(0, len(raw), step)):
-                        own = raw[at : at + step]
-                        rows.append((d, k, at // 4, len(own) // 4, zlib.crc32(own), np.frombuffer(own, "<u4").astype(np.int64) if with_ids else None))
-                cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            doc_ids, own = batch.column("doc_id").cast(pa.int64()), batch.column("text")
+            for first, rows in slices([own], BLOCK):
+                ids, counts = enc.encode(own.slice(first, rows))
+                ids, sizes = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+                each = -(-sizes // capacity)  # pieces of each document
+                doc = np.repeat(np.arange(rows), each)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)
+                start = piece * capacity
+                length = np.minimum(sizes[doc] - start, capacity)
+                ends = np.cumsum(length)
+                raw = memoryview(ids.view(np.uint8))
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip((ends - length).tolist(), ends.tolist())]
+                cols = [doc_ids.slice(first, rows).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    cols, names = [*cols, pa.array([r[5] for r in rows], pa.list_(pa.int64()))], [*names, "ids"]
+                    cols, names = [*cols, pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids.astype(np.int64)))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
