@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_SCRATCH: dict[str, str] = {}
@@ -96,17 +96,38 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
         yield first, [t or "" for t in own.slice(first, n).to_pylist()]
 
 
+#: A key with more rows is dealt over several tasks, and at most so many keys are.
+HOT_ROWS, HOT_KEYS = 64, 20_000
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: str, deal: Column, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keyed``, which has one row for each value of ``on`` and in ``n`` the number of its rows.
+
+    The rows of a key that has many are dealt by ``deal`` (an integer, the same at every evaluation) over several tasks, and the
+    key's row of ``keyed`` goes to each of them.  ``total`` is the number of rows, or more: so fewer than ``HOT_KEYS`` keys have more than a
+    ``HOT_KEYS``-th of them, and only these keys are broadcast.
+    """
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hot = keyed.filter(F.col("n") > most).select(on, parts.alias("_parts"))
+    left = rows.join(F.broadcast(hot), on, "left").withColumn("_deal", F.coalesce(F.pmod(deal, F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    right = keyed.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop("n")
+    return left.join(right, [on, "_deal"], how).drop("_deal")
+
+
 def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:
     """``df`` staged with ``position``: the row's 0-based place in the global order of ``order``.
 
     Rows are range-partitioned, so a long run of equal leading keys is split by the
-    later ones; the driver sees one count per partition.  The staged table is returned
-    with its path.  Pass narrow frames: texts need not be moved for a row number.
+    later ones, and rows equal in all of them by their place in the input; the driver sees one count per partition.  The staged table is
+    returned with its path.  Pass narrow frames that read a table: texts need not be moved for a row number.
     """
     spark = df.sparkSession
     laid = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_seq", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
@@ -116,6 +137,6 @@ def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:
     for part, n in counts:
         rows.append((part, base))
         base += n
-    bases = spark.createDataFrame(rows, "_part int, _base long")  # one row per partition
+    bases = spark.createDataFrame(rows, "_part int, _base long")  # one row per partition, of which the session's setting has so many
     out = held.join(F.broadcast(bases), "_part").withColumn("position", F.col("_base") + F.col("_seq"))
     return out.drop("_part", "_seq", "_base"), path

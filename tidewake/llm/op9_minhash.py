@@ -22,11 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidewake.llm.common import blocks, drop_path, slices, stage
+from tidewake.llm.common import blocks, drop_path, slices, spread_join, stage
 from tidewake.llm.tokens import forget
 
 WIDTH, SIMILAR = 5, 0.8
@@ -136,21 +135,29 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return inter >= SIMILAR * union - 1e-9
 
 
+def _id() -> Column:
+    return F.col("doc_id").cast("long").alias("doc_id")
+
+
+def _print() -> Column:
+    """128 bits of the text itself, which tell rows of one doc_id apart without their texts."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("print")
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         held = Words()
         for batch in batches:
-            ids = batch.column("doc_id")
             for first, texts in blocks(batch, "text", 500_000):
                 own = [words_of(t) for t in texts]
                 bands = bands_of(signatures([shingles(w, held) for w in own]))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)).cast(pa.int64()), pa.array([key_of(w) for w in own], pa.binary()), pa.array([b if w else [] for b, w in zip(bands, own)], pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "bands"],
+                    [*(batch.column(c).slice(first, len(texts)) for c in ("doc_id", "print")), pa.array([key_of(w) for w in own], pa.binary()), pa.array([b if w else [] for b, w in zip(bands, own)], pa.list_(pa.int64()))],
+                    names=["doc_id", "print", "key", "bands"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, bands array<long>")
+    return docs.select(_id(), "text", _print()).mapInArrow(run, "doc_id long, print binary, key binary, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -178,25 +185,24 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     Alternating large and small stars; the table of each round lies in the shared folder until the next
     is there.  A node with many links is only ever aggregated or joined from its links' side.
     """
-    spark = links.sparkSession
     mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     edges, path = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), name)
     before = mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = spread_join(both.filter("v > u"), low, "u", F.xxhash64("u", "v"), 2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = spread_join(large, least, "u", F.xxhash64("u", "v"), 2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
         edges, new = stage(small, name)
-        drop_path(spark, path)
+        drop_path(links.sparkSession, path)
         path = new
         now = mark(edges)
         if now == before:
             break
         before = now
     out, _ = stage(edges.select(F.col("u").alias("key"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("key"), F.col("v").alias("root"))).distinct(), f"{name}-roots")
-    drop_path(spark, path)
+    drop_path(links.sparkSession, path)
     return out
 
 
@@ -244,24 +250,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Null and blank texts have no words and are copies of each other; texts of fewer than five words are similar
     only if their words are equal.  Rows without a doc_id get their class's id and never give it, unless
-    all have none (class_id null).  Repeated rows are kept; other columns are not read.
+    all have none (class_id null).  Repeated rows are kept; other columns are not read; an empty table gives no rows.
     """
     return _classes(*_linked(docs))
 
 
 def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sketches (doc_id, key, bands), nodes (key, least_id), and roots (key, root) of the nodes that have a link."""
-    spark = docs.sparkSession
+    """Sketches (doc_id, print, key, bands), nodes (key, its first row as none, doc_id and print, n rows), and roots (key, root) of
+    the nodes that have a link."""
+    deal = F.xxhash64("key")
     sketch, _ = stage(_sketched(docs), "sketches")
-    nodes = sketch.groupBy("key").agg(F.min("doc_id").alias("least_id"))
+    nodes = sketch.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first"), F.count("*").alias("n"))
     firsts = sketch.groupBy("key").agg(F.first("bands").alias("bands"))
     rows = firsts.select("key", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).filter("n > 1")
-    buckets, buckets_at = stage(rows.join(shared, "band"), "buckets")  # only bands that two texts share
-    # Only texts in a bucket are fetched, once.
-    keys = buckets.select("key").distinct()
-    wanted = keys.join(nodes.filter("least_id IS NOT NULL").withColumnRenamed("least_id", "doc_id"), "key")
-    texts, texts_at = stage(_texts(docs, wanted, keys.join(nodes.filter("least_id IS NULL"), "key", "left_semi")), "bucket-texts")
+    buckets, buckets_at = stage(spread_join(rows, shared, "band", deal, BANDS * sketch.count()), "buckets")  # only bands that two texts share
+    held = buckets.count()
+    # Only texts in a bucket are fetched, once: the text of each node's first row.
+    wanted = buckets.select("key").distinct().join(nodes, "key").select("key", "first.doc_id", "first.print")
+    texts, texts_at = stage(_texts(docs, wanted), "bucket-texts")
     # Round 1: all members of a bucket against one of them.
     stars = buckets.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
     links, links_at = stage(_verified(stars, texts), "star-links")
@@ -270,80 +277,54 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = buckets.select("band", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     parts = known.groupBy("band", "root").agg(F.count("*").alias("c"))
     tops = parts.groupBy("band").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top")).filter("top.c < n")
-    tops = tops.select("band", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.c")).alias("others"))
-    left = known.join(tops, "band").withColumn("out", F.col("root") != F.col("top")).join(firsts, "key")
-    left, left_at = stage(left.select("band", "key", "root", "n", "others", "out", "bands"), "open-buckets")
+    tops = tops.select("band", "n", F.col("n").alias("members"), F.col("top.root").alias("top"), (F.col("n") - F.col("top.c")).alias("others"))
+    left = spread_join(known, tops, "band", deal, held).withColumn("out", F.col("root") != F.col("top")).join(firsts, "key")
+    left, left_at = stage(left.select("band", "key", "root", F.col("members").alias("n"), "others", "out", "bands"), "open-buckets")
     more, more_at = stage(_links_to_outliers(left, texts).distinct(), "outlier-links")
     if not more.isEmpty():
         # The components found so far are one node each, so this graph is small.
         joined = more.join(roots.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b", "left")
         merged = components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "merged-components")
-        every = roots.unionByName(merged.select("key", F.col("key").alias("root"))).distinct()
-        roots = every.join(merged.select(F.col("key").alias("root"), F.col("root").alias("_r")), "root", "left").select("key", F.coalesce("_r", "root").alias("root")).distinct()
-    roots, _ = stage(roots, "roots")
+        every, every_at = stage(roots.unionByName(merged.select("key", F.col("key").alias("root"))).distinct(), "all-roots")
+        sizes = every.groupBy("root").agg(F.count("*").alias("n"))
+        new = merged.select(F.col("key").alias("root"), F.col("root").alias("_r")).join(sizes, "root")
+        roots, _ = stage(spread_join(every, new, "root", deal, every.count(), "left").select("key", F.coalesce("_r", "root").alias("root")).distinct(), "roots")
+        drop_path(docs.sparkSession, every_at)
     for path in (buckets_at, texts_at, links_at, left_at, more_at):
-        drop_path(spark, path)
+        drop_path(docs.sparkSession, path)
     return sketch, nodes, roots
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, nameless: DataFrame) -> DataFrame:
-    """key, text of the wanted keys (key, doc_id); rows that share an id are told apart by their key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
-        for batch in batches:
-            own = [key_of(words_of(t)) for _, texts in blocks(batch, "text") for t in texts]
-            keep = pa.array([k is None or k == o for k, o in zip(batch.column("key").to_pylist(), own)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), batch.column("text")], names=["key", "text"]).filter(keep)
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = own.filter("doc_id IS NOT NULL").join(wanted, "doc_id").select("key", "text").mapInArrow(run, "key binary, text string")
-    other = own.filter("doc_id IS NULL").select(F.lit(None).cast("binary").alias("key"), "text").mapInArrow(run, "key binary, text string").join(nameless, "key", "left_semi")
-    return named.unionByName(other).groupBy("key").agg(F.min("text").alias("text"))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, text of the wanted rows (key, doc_id, print)."""
+    own = docs.select(_id(), "text", _print()).alias("d")
+    found = own.join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id AND d.print = w.print"))
+    return found.groupBy("key").agg(F.min("text").alias("text"))
 
 
 def _classes(sketch: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    joined = nodes.join(roots, "key")
-    least = joined.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    linked, _ = stage(joined.join(least, "root").select("key", "class_id"), "classes")
-    each = nodes.join(linked, "key", "left").select("key", F.coalesce("class_id", "least_id").alias("class_id"))
-    return sketch.select("doc_id", "key").join(each, "key").select("doc_id", "class_id")
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the _key of each text; of rows of a batch that share doc_id and key one with the least text."""
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
-        for batch in batches:
-            own = [key_of(words_of(t)) for _, texts in blocks(batch, "text") for t in texts]
-            ids, texts, first = batch.column("doc_id").to_pylist(), batch.column(at), {}
-            for k, node in enumerate(zip(ids, own)):
-                held = first.setdefault(node, k)
-                if held != k:
-                    a, b = texts[held].as_py(), texts[k].as_py()
-                    if (b is not None, b or "") < (a is not None, a or ""):
-                        first[node] = k
-            keyed = pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.binary())], names=[*batch.schema.names, "_key"])
-            yield keyed if len(first) == len(own) else keyed.take(pa.array(sorted(first.values()), pa.int64()))
-
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("_key", BinaryType())]))
+    joined = nodes.select("key", F.col("first.doc_id").alias("least_id"), F.col("n").alias("rows")).join(roots, "key")
+    least = joined.groupBy("root").agg(F.min("least_id").alias("class_id"), F.count("*").alias("n"))
+    linked, _ = stage(spread_join(joined, least, "root", F.xxhash64("key"), roots.count()).select("key", "class_id"), "classes")
+    each = nodes.join(linked, "key", "left").select("key", "n", F.coalesce("class_id", "first.doc_id").alias("class_id"))
+    # Copies of one text may be many rows; the sketches are read from a table, where a row has the same number every time.
+    return spread_join(sketch.select("doc_id", "key"), each, "key", F.monotonically_increasing_id(), sketch.count()).select("doc_id", "class_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of each class of ``docs``, with its own columns, whatever the ids.
 
-    It is a row of the class's least doc_id (a null is the last; tie: the least key), so rows of different
-    classes that share an id, or have none, all stay.  Of rows that share id and words the one with the least text is kept.
+    It is a row of the class's least doc_id (a null is the last; tie: the least key, then the least digest of the text), so rows of
+    different classes that share an id, or have none, all stay.  Of rows that share id and text (null as empty) one is kept.
     """
-    _, nodes, roots = _linked(docs)
+    sketch, nodes, roots = _linked(docs)
     linked = nodes.join(roots, "key")
-    chosen = linked.groupBy("root").agg(F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key")).alias("m"))
+    chosen = linked.groupBy("root").agg(F.min(F.struct("first.none", "first.doc_id", "key")).alias("m"))
     others = linked.join(chosen, "root").filter("key != m.key").select("key")
-    node = lambda d, doc_id, key: (F.coalesce(d[doc_id].cast("long"), F.lit(0)).alias("_id"), d[doc_id].isNull().alias("_none"), d[key].alias("_key"))
-    kept, _ = stage(nodes.join(others, "key", "left_anti").select(*node(nodes, "least_id", "key")), "representatives")
-    keyed = _keyed(docs)
+    kept, _ = stage(nodes.join(others, "key", "left_anti").select(F.coalesce("first.doc_id", F.lit(0)).alias("_id"), F.col("first.none").alias("_none"), F.col("first.print").alias("_print")), "representatives")
+    same = ["_id", "_none", "_print"]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = keyed.select(*node(keyed, "doc_id", "_key"), "text", row.alias("_row")).join(kept, ["_id", "_none", "_key"], "left_semi")
-    return rows.groupBy("_id", "_none", "_key").agg(F.min_by("_row", F.struct("text")).alias("_row")).select("_row.*")
+    rows = docs.select(F.coalesce(_id(), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), _print().alias("_print"), row.alias("_row"))
+    if not sketch.groupBy("doc_id", "print").count().filter("count > 1").isEmpty():  # in each task first, as equal rows may be many
+        rows = rows.groupBy(*same).agg(F.first("_row").alias("_row"))
+    return rows.join(kept, same, "left_semi").select("_row.*")
