@@ -15,10 +15,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks, stage
+from tidewake.llm.common import blocks, spread_join, stage
 
 # Fixed names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,7 +28,7 @@ BLOCKS = CONTAINERS | frozenset(
     "address aside blockquote caption dd details dialog dir dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li menu nav ol optgroup option p pre search summary table tbody tfoot th thead tr ul".split()
 )
 DROPPED = frozenset(
-    "head nav footer aside form script style noscript template iframe svg math select button textarea title menu dialog object canvas audio video map datalist noembed noframes xmp".split()
+    "head nav footer aside form script style noscript template iframe svg select button textarea title menu dialog object audio video map datalist noembed noframes xmp".split()
 )
 #: What an open element of the key ends when a start tag of the value comes.
 ENDS = {
@@ -60,6 +60,7 @@ ARTICLE = frozenset("article articlebody content entry main post story text body
 _TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=>"'/]+)""")
 _WORD = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[0-9]+")
 
 
 @dataclass
@@ -74,12 +75,31 @@ class Block:
 
 @dataclass
 class Page:
+    """Blocks, and the containers: each one's parent (before it), depth, last step of its path, tag, and whether it is named as the article."""
+
     blocks: list[Block] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
-    path: list[str] = field(default_factory=list)
+    depth: list[int] = field(default_factory=list)
+    step: list[str] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
     named: list[bool] = field(default_factory=list)
 
+    def path(self, i: int) -> str:
+        """The steps from the page to a container; only a winner's path is ever written out."""
+        out = []
+        while i >= 0:
+            out.append(self.step[i])
+            i = self.parent[i]
+        return "/".join(reversed(out))
+
+    def on(self, path: str | None) -> set[int]:
+        """All containers on that path."""
+        steps = path.split("/") if path is not None else []
+        along = [False] * len(self.step)  # on a beginning of the path
+        for i, (up, d, own) in enumerate(zip(self.parent, self.depth, self.step)):
+            along[i] = d < len(steps) and own == steps[d] and (up < 0 or along[up])
+        return {i for i, d in enumerate(self.depth) if along[i] and d == len(steps) - 1}
+
 
 def _attributes(raw: str) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw else {}
@@ -87,8 +107,8 @@ def _attributes(raw: str) -> dict[str, str]:
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
     """The tag and its classes, digits made alike: items of a list and numbered pages share it."""
-    classes = sorted({re.sub(r"[0-9]+", "#", c.lower()) for c in attributes.get("class", "").split()})
-    return ".".join([tag, *classes[:3]])
+    classes = sorted({_NUMBER.sub("#", c.lower()).replace("/", "|") for c in attributes.get("class", "").split()})
+    return ".".join([tag.replace("/", "|"), *classes])
 
 
 def _unwanted(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -131,13 +151,16 @@ def parse(text: str) -> Page:
     buffer: list[str] = []
     state = {"container": -1, "dropped": 0, "linked": 0, "links": 0, "doubt": -1}
 
-    def container(step: str, named: bool) -> None:
+    steps: dict[str, str] = {}  # equal steps are one string
+
+    def container(tag: str, step: str, named: bool) -> None:
         up = state["container"]
         page.parent.append(up)
-        page.path.append((page.path[up] + "/" if up >= 0 else "") + step)
-        page.tag.append(step.partition(".")[0])
+        page.depth.append(page.depth[up] + 1 if up >= 0 else 0)
+        page.step.append(steps.setdefault(step, step))
+        page.tag.append(tag)
         page.named.append(named)
-        state["container"] = len(page.path) - 1
+        state["container"] = len(page.parent) - 1
 
     def flush() -> None:
         if buffer:
@@ -163,7 +186,7 @@ def parse(text: str) -> Page:
             if state["links"]:
                 state["linked"] += len(piece)
 
-    container("", False)
+    container("", "", False)
     at, n = 0, len(text)
     while at < n:
         m = _TAG.search(text, at)
@@ -243,7 +266,7 @@ def parse(text: str) -> Page:
                 state["doubt"] = len(doubts) - 1
         if tag in CONTAINERS and not state["dropped"] and not dropped:
             words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}".lower()))
-            container(_step(tag, attributes), tag in ("article", "main") or tag != "body" and bool(words & ARTICLE))
+            container(tag, _step(tag, attributes), tag in ("article", "main") or tag != "body" and bool(words & ARTICLE))
         stack.append((tag, before, dropped, tag == "a", doubt))
         opened[tag] += 1
         state["dropped"] += dropped
@@ -283,7 +306,7 @@ def _kept(page: Page, doubts: list[list]) -> list[bool]:
 
 def scores(page: Page) -> list[int]:
     """For each container its characters outside links, a bit less for each level that they lie deeper."""
-    out = [0] * len(page.path)
+    out = [0] * len(page.parent)
     for b in page.blocks:
         out[b.container] += 100 * max(0, len(b.text) - 2 * b.linked)
     for i in range(len(out) - 1, 0, -1):
@@ -301,7 +324,7 @@ def best(page: Page) -> int:
 def _climbed(page: Page, inner: int) -> int:
     """The article around the container, then the highest ancestor that adds text, not mostly links: up to main, if
     there is one, or from outside any article to the page."""
-    sizes, linked = [0] * len(page.path), [0] * len(page.path)
+    sizes, linked = [0] * len(page.parent), [0] * len(page.parent)
     for b in page.blocks:
         sizes[b.container] += len(b.text)
         linked[b.container] += b.linked
@@ -326,23 +349,19 @@ def _climbed(page: Page, inner: int) -> int:
 
 def extract(page: Page, path: str | None) -> str:
     """The blocks inside all containers on ``path``, else inside the best one."""
-    roots = {i for i, p in enumerate(page.path) if p == path}
-    inside = [False] * len(page.path)
-    for attempt in (roots, {best(page)}):
+    for choose in (lambda: page.on(path), lambda: {best(page)}):
+        roots, inside = choose(), [False] * len(page.parent)
         for i, up in enumerate(page.parent):
-            inside[i] = i in attempt or up >= 0 and inside[up]
+            inside[i] = i in roots or up >= 0 and inside[up]
         text = "\n".join(b.text for b in page.blocks if inside[b.container])
         if text:
             return text
     return ""
 
 
-_HOST = re.compile(r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
-
-
-def host_of(url: str | None) -> str:
-    m = _HOST.match(url or "")
-    return m[1].lower() if m else ""
+def host_of(url: str) -> Column:
+    """The host of a column of addresses, in lower case; '' for null and odd ones."""
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)).alias("host")
 
 
 #: Most bytes of winning paths that go out to every executor; beyond it pages are joined with them by host.
@@ -356,19 +375,19 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             votes: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
-            urls = batch.column("url").to_pylist()
+            hosts = batch.column("host").to_pylist()
             for first, texts in blocks(batch, "html"):
-                for url, t in zip(urls[first:], texts):
+                for host, t in zip(hosts[first:], texts):
                     page = parse(t)
                     i = best(page)
                     if score := scores(page)[i]:
-                        v = votes[host_of(url), page.path[i]]
+                        v = votes[host, page.path(i)]
                         v[0] += 1
                         v[1] += score
             rows = [(*k, *v) for k, v in votes.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["host", "path", "votes", "score"])
 
-    cast = pages.select("url", "html").mapInArrow(run, "host string, path string, votes long, score long")
+    cast = pages.select(host_of("url"), "html").mapInArrow(run, "host string, path string, votes long, score long")
     summed = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
     return summed.groupBy("host").agg(F.max_by("path", F.struct("votes", "score", "path")).alias("path"))
 
@@ -377,32 +396,31 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html, ...).
 
     A null or empty html has the empty text; a null or odd url counts as host ''.  Repeated rows give repeated
-    rows; other columns are not read.
+    rows; other columns are not read; an empty table gives no rows.
     """
     spark = pages.sparkSession
     winners, _ = stage(winning_paths(pages), "host-paths")
     size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 64).alias("n")).first()["n"] or 0
-    own = pages.select("page_id", "url", "html")
+    own = pages.select("page_id", "url", "html", host_of("url"))
     paths = None
     if size <= BROADCAST_BYTES:
         paths = spark.sparkContext.broadcast({r["host"]: r["path"] for r in winners.collect()})
         own = own.withColumn("path", F.lit(None).cast("string"))
-    else:
-        host = F.lower(F.coalesce(F.regexp_extract("url", _HOST.pattern, 1), F.lit("")))
-        own = own.withColumn("host", host).join(winners, "host", "left").drop("host")
+    else:  # the same paths, joined; a hot host's pages are dealt over several tasks
+        sizes = own.groupBy("host").agg(F.count("*").alias("n"))
+        own = spread_join(own, winners.join(sizes, "host"), "host", F.xxhash64("url", "page_id"), own.count(), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls, joined = batch.column("url"), batch.column("path").to_pylist()
-            names = urls.to_pylist()
+            hosts, joined = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             for first, texts in blocks(batch, "html"):
                 out = []
                 for k, t in enumerate(texts, first):
-                    out.append(extract(parse(t), paths.value.get(host_of(names[k])) if paths else joined[k]))
+                    out.append(extract(parse(t), paths.value.get(hosts[k]) if paths else joined[k]))
                 rows = slice(first, first + len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("page_id")[rows].cast(pa.int64()), urls[rows].cast(pa.string()), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())],
+                    [batch.column("page_id")[rows].cast(pa.int64()), batch.column("url")[rows].cast(pa.string()), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
                 )
 
-    return own.select("page_id", "url", "html", "path").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return own.select("page_id", "url", "html", "host", "path").mapInArrow(run, "page_id long, url string, text string, n_chars long")
