@@ -1,7 +1,8 @@
 """Personal data: base patterns, and a semi-Markov conditional random field over whole spans.
 
 The base finds e-mail addresses, IP addresses, card and phone numbers by fixed patterns, each in
-time linear in the text.  The field adds spans that no base span overlaps.  It looks at
+time linear in the text.  The field adds spans that no base span overlaps, and keys, codes and IBANs around base spans (digits
+inside a key may look like a card).  It looks at
 islands: runs of tokens that have a digit or an @, and the letters inside an IBAN in groups.  Every candidate segment of an island is scored as a
 whole (its shape, checksums, the words before it); bounded-entity dynamic programming then
 chooses boundaries and types together.  Outside islands nothing can be personal data of
@@ -11,8 +12,10 @@ the log-likelihood, from examples that :func:`examples` writes; no document is n
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import blocks
+from tidewake.llm.common import blocks, slices
 
 BASE = ("email", "ip", "card", "phone")
 #: The field's types; the last three have no base pattern.
@@ -96,16 +99,17 @@ def base_spans(text: str) -> list[Span]:
 
 #: Most tokens of an entity, those of nine groups with blanks between; a key in one run may have more.
 LONGEST = 17
-#: Characters of an entity at most; of an island that is decoded at once, at least, and what is read beyond them.
-ENTITY, WINDOW, OVERLAP = 200, 400, 240
+#: Characters of an entity with blanks in it at most, as of its forms none is longer; of an island that is decoded at once, at least, and
+#: what is read beyond them.  A window ends at white space, so a key, which has none, lies in one however long it is.
+SPACED, WINDOW, OVERLAP = 200, 400, 240
 
 _TOKEN = re.compile(r"[^\W_]+|[^\S]+|[\W_]")
 _CUE = re.compile(r"[^\W\d_]+")
-_HEX = re.compile(r"[0-9a-fA-F]{24,128}")
+_HEX = re.compile(r"[0-9a-fA-F]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9_-]+")
 _GROUP = re.compile(r"[A-Z]{1,6}[.,;:)]?")
 _UNDERWAY = re.compile(r"(?:^|[^\w])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9])*$")
-_KEYLIKE = re.compile(r"[A-Za-z0-9_-]{20,200}")
+_KEYLIKE = re.compile(r"[A-Za-z0-9_-]{20,}")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _FOUR = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 _DATE = re.compile(r"[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}")
@@ -162,7 +166,7 @@ def span_features(text: str, start: int, end: int, cue: str | None) -> list[str]
 
 def _possible(s: str) -> bool:
     """Whether a span can be an entity at all: enough digits, an address, or a long key."""
-    if len(s) > ENTITY or s[0].isspace() or s[-1].isspace() or not (s[0].isalnum() or s[0] in "+(") or not s[-1].isalnum():
+    if len(s) > SPACED and _SPACE.search(s) or s[0].isspace() or s[-1].isspace() or not (s[0].isalnum() or s[0] in "+(") or not s[-1].isalnum():
         return False
     if "@" in s:
         return bool(_EMAIL.fullmatch(s))
@@ -177,7 +181,7 @@ def candidates(text: str, start: int, end: int) -> tuple[int, list[tuple[int, in
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
     words = _CUE.findall(text, max(0, start - 40), start)
     cue = next((_CUE_OF[w.lower()] for w in reversed(words[-4:]) if w.lower() in _CUE_OF), None)
-    out, run_end = [], start
+    out, run_end, ends = [], start, [b for _, b in tokens]
     for i, (a, _) in enumerate(tokens):
         first = text[a]
         if " " in text[a - 1 : a] and (m := _CUE.match(text, a)) and m[0].lower() in _CUE_OF and not text[m.end() : m.end() + 1].isalnum():
@@ -191,12 +195,9 @@ def candidates(text: str, start: int, end: int) -> tuple[int, list[tuple[int, in
         if a >= run_end and (m := _RUN.match(text, a, end)):  # the whole of a run of more tokens
             run_end = m.end()
             b = a + len(m[0].rstrip("_-"))
-            if b - a <= ENTITY:
-                j = i
-                while tokens[j][1] < b:
-                    j += 1
-                if j >= i + LONGEST and tokens[j][1] == b and _possible(text[a:b]):
-                    out.append((i, j + 1, a, b, span_features(text, a, b, cue)))
+            j = bisect.bisect_left(ends, b)
+            if j >= i + LONGEST and j < len(ends) and ends[j] == b and _possible(text[a:b]):
+                out.append((i, j + 1, a, b, span_features(text, a, b, cue)))
     return len(tokens), out
 
 
@@ -350,6 +351,11 @@ def examples(n: int, seed: int) -> list[tuple[str, list[Span]]]:
         full = next(f"{body}{k:02d}{own}" for k in range(100) if _mod97(f"{body}{k:02d}{own}"))
         return full if r.random() < 0.5 else " ".join(full[i : i + 4] for i in range(0, len(full), 4))
 
+    def parted() -> str:
+        letters, mark = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789", r.choice("_-")
+        groups = ["".join(r.choice(letters) for _ in range(r.randint(4, 40))) for _ in range(r.randint(2, 7))]
+        return mark.join([*groups, "aB3" + "".join(r.choice(letters) for _ in range(20))])
+
     make = {
         "email": lambda: f"{word()}{r.choice(['', '.', '_', '+'])}{digits(r.randint(1, 3))}@{word()}{r.choice(['', digits(1)])}.{r.choice(['com', 'org', 'co.uk', 'de'])}",
         "ip": lambda: ".".join(str(r.randint(0, 255)) for _ in range(4)),
@@ -357,7 +363,7 @@ def examples(n: int, seed: int) -> list[tuple[str, list[Span]]]:
         "phone": lambda: r.choice([f"+{r.randint(1, 99)} {digits(3)} {digits(3)} {digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", f"0{digits(2)} {digits(4)} {digits(4)}"]),
         "id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
         "iban": iban,
-        "secret": lambda: r.choice(["".join(r.choice("0123456789abcdef") for _ in range(r.choice([32, 40, 64]))), "".join(r.choice("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(r.randint(24, 48)))]),
+        "secret": lambda: r.choice(["".join(r.choice("0123456789abcdef") for _ in range(r.choice([32, 40, 64]))), "".join(r.choice("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(r.randint(24, 48))), parted()]),
     }
     other = [
         lambda: f"{r.randint(1900, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}",
@@ -428,12 +434,12 @@ def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     if not base and not _SEED.search(text):
         return [], []
     taken = sorted(base)
-    firsts = [s[0] for s in taken]
+    firsts, reach = [s[0] for s in taken], list(itertools.accumulate((s[1] for s in taken), max))
     more = []
     for a, b in islands(text):
         for s, e, kind in decoded(text, a, b, field):
-            near = taken[max(0, int(np.searchsorted(firsts, s)) - 4) : int(np.searchsorted(firsts, e))]
-            if not any(x < e and s < z for x, z, _ in near):
+            near = taken[bisect.bisect_right(reach, s) : bisect.bisect_left(firsts, e)]
+            if not any(s < z and (kind in BASE or x < s or z > e) for x, z, _ in near):
                 more.append((s, e, kind))
     return base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
@@ -445,8 +451,8 @@ def joined(spans: list[Span]) -> str:
 def find_personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of ``docs``.
 
-    A null or empty text has no span (the digest is that of the empty string).  Repeated rows give repeated rows;
-    other columns are not read.  Spans are code points, end exclusive.  A map: nothing is shuffled.
+    A null or empty text has no span (the digest is that of the empty string).  Repeated rows give repeated rows; an empty table gives
+    no rows; other columns are not read.  Spans are code points, end exclusive.  A map: nothing is shuffled.
     """
     held = docs.sparkSession.sparkContext.broadcast(field or trained())
 
@@ -476,15 +482,19 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def redacted(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """``docs`` with personal data in ``text`` masked, and ``n_chars`` (where there is one) of the new text."""
+    """``docs`` with personal data in ``text`` masked, and ``n_chars`` (where there is one) of the new text.
+
+    A null text stays null; every row stays, with its other columns as they are.
+    """
     held = docs.sparkSession.sparkContext.broadcast(field or trained())
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t and masked(t, all_spans(t, held.value)[1]) for t in batch.column("text").to_pylist()]
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+            for first, n in slices([batch.column(at)]):
+                own = batch.slice(first, n)
+                texts = [t and masked(t, all_spans(t, held.value)[1]) for t in own.column(at).to_pylist()]
+                yield own.set_column(at, "text", pa.array(texts, pa.string()))
 
     out = docs.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
-
-
