@@ -75,9 +75,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def slices(columns: list[pa.Array], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """(first row, rows) of consecutive rows whose texts in ``columns`` have at most ``limit`` bytes together."""
-    ends = np.cumsum(sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in columns), dtype=np.int64)
+def slices_of(sizes: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive rows whose ``sizes`` are at most ``limit`` together (a larger row is alone)."""
+    ends = np.cumsum(sizes, dtype=np.int64)
     first = 0
     while first < len(ends):
         before = ends[first - 1] if first else 0
@@ -86,6 +86,11 @@ def slices(columns: list[pa.Array], limit: int = BLOCK_BYTES) -> Iterator[tuple[
         first = last
 
 
+def slices(columns: list[pa.Array], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """``slices_of`` the bytes of the texts in ``columns``."""
+    return slices_of(sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in columns), limit)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of consecutive rows with at most ``limit`` bytes together; null is empty.
 
@@ -115,12 +120,13 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: str, deal: Column, total:
     return left.join(right, [on, "_deal"], how).drop("_deal")
 
 
-def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:
+def positioned(df: DataFrame, order: list, name: str, part: str | None = None) -> tuple[DataFrame, str]:
     """``df`` staged with ``position``: the row's 0-based place in the global order of ``order``.
 
     Rows are range-partitioned, so a long run of equal leading keys is split by the
     later ones, and rows equal in all of them by their place in the input; the driver sees one count per partition.  The staged table is
     returned with its path.  Pass narrow frames that read a table: texts need not be moved for a row number.
+    ``part`` names a column for the row's partition, an interval of positions.
     """
     spark = df.sparkSession
     laid = (
@@ -134,9 +140,9 @@ def positioned(df: DataFrame, order: list, name: str) -> tuple[DataFrame, str]:
     held, path = stage(laid, name)
     counts = sorted((r["_part"], r["n"]) for r in held.groupBy("_part").agg(F.count("*").alias("n")).collect())
     base, rows = 0, []
-    for part, n in counts:
-        rows.append((part, base))
+    for k, n in counts:
+        rows.append((k, base))
         base += n
     bases = spark.createDataFrame(rows, "_part int, _base long")  # one row per partition, of which the session's setting has so many
     out = held.join(F.broadcast(bases), "_part").withColumn("position", F.col("_base") + F.col("_seq"))
-    return out.drop("_part", "_seq", "_base"), path
+    return (out.withColumnRenamed("_part", part) if part else out.drop("_part")).drop("_seq", "_base"), path

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import positioned, stage
+from tidewake.llm.common import positioned, slices_of, stage
 
 #: Fixed marks of the chat format.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -42,22 +44,30 @@ def common_turns(a: list[dict], b: list[dict]) -> int:
     return n
 
 
+def _said_bytes(turns: pa.ListArray) -> np.ndarray:
+    """Bytes of the texts of each list of turns."""
+    sums = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(turns.values.field("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    ends = turns.offsets.to_numpy()
+    return sums[ends[1:]] - sums[ends[:-1]]
+
+
 def formatted(pairs: DataFrame) -> DataFrame:
     """One row per row of ``pairs`` (pair_id, chosen_id, chosen_turns, rejected_id, rejected_turns).
 
     The two lists of turns are structs of role and text in order.  A row whose rejected list is null has
     no counterpart: no prompt, the whole conversation as chosen completion, the rejected one null.
     Where one conversation is the start of the other its completion is the empty string; ``identical`` marks
-    pairs where both are.  No shuffle.
+    pairs where both are.  An empty table gives no rows; other columns are not read.  No shuffle.
     """
     name = ["pair_id", "chosen_id", "rejected_id", "n_common_turns", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask", "identical"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_()]
     spans = lambda x: ",".join(f"{a}:{b}" for a, b in x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (b.slice(*at) for b in batches for at in slices_of(_said_bytes(b.column("chosen_turns")) + _said_bytes(b.column("rejected_turns"))))
+        for part in parts:
             rows = []
-            for r in batch.to_pylist():
+            for r in part.to_pylist():
                 a, b = r["chosen_turns"] or [], r["rejected_turns"]
                 k = 0 if b is None else common_turns(a, b)
                 chosen, mask = rendered(a[k:])
@@ -73,7 +83,7 @@ def formatted(pairs: DataFrame) -> DataFrame:
 def paired(turns: DataFrame) -> DataFrame:
     """Pairs of conversations with the same opening turn, for :func:`formatted`.
 
-    ``turns`` has conv_id, turn, role, text.  Rows equal in all four are one turn; turns are
+    ``turns`` has conv_id, turn, role, text; other columns are not read, an empty table has no pairs.  Repeated rows are repeated turns; turns are
     ordered by (turn, role, text), null first; a null role or text is the empty string; rows without
     a conv_id belong to no conversation.  Conversations with the same opening are ordered by conv_id, and the first
     and second, third and fourth, ... are paired.  Of a pair the one with more characters in the
@@ -86,13 +96,15 @@ def paired(turns: DataFrame) -> DataFrame:
     """
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     said = turns.filter(F.col("conv_id").isNotNull()).select(F.col("conv_id").cast("long").alias("conv_id"), F.struct(F.col("turn"), blank("role").alias("role"), blank("text").alias("text")).alias("t"))
-    convs = said.groupBy("conv_id").agg(F.sort_array(F.collect_set("t")).alias("turns"))
+    convs = said.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     convs = convs.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
     convs = convs.withColumn("opening", F.md5(F.concat_ws("\x1f", F.col("turns")[0]["role"], F.col("turns")[0]["text"])))
     convs, _ = stage(convs, "conversations")
-    places, _ = positioned(convs.select("opening", "conv_id"), ["opening", "conv_id"], "openings")
-    starts = places.groupBy("opening").agg(F.min("position").alias("first"))
-    slots = places.join(starts, "opening").select("conv_id", "position", (F.col("position") - F.col("first")).alias("rank"))
+    places, _ = positioned(convs.select("opening", "conv_id"), ["opening", "conv_id"], "openings", "part")
+    # An opening's first position, for each part that it reaches into: a common opening is one row a part, not one task.
+    starts = places.groupBy("opening", "part").agg(F.min("position").alias("first"))
+    starts = starts.select("opening", "part").join(starts.groupBy("opening").agg(F.min("first").alias("first")), "opening")
+    slots = places.join(starts, ["opening", "part"]).select("conv_id", "position", (F.col("position") - F.col("first")).alias("rank"))
     rows, _ = stage(convs.join(slots, "conv_id"), "placed-conversations")
     total = max(1, rows.count())
     weight = F.aggregate("turns", F.lit(0).cast("long"), lambda a, t: a + F.when(t["role"] == "assistant", F.length(t["text"])).otherwise(0))
