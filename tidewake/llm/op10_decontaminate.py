@@ -25,6 +25,7 @@ Q = 8  # the hash is made by doubling: a power of two
 _MULT = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 _CHUNK = 1 << 15
 _CELLS, _FAR = 1 << 15, 1 << 29  # lanes aligned together; a cost beyond all
+_POSTINGS = 1 << 21  # postings looked at together, if they are of several items
 
 #: Characters of a benchmark block that goes out at once (its index takes about 40 bytes for each).
 BLOCK = 1_000_000
@@ -59,9 +60,10 @@ class Index:
     texts: list[str]
     budgets: np.ndarray
     keys: np.ndarray
-    first: np.ndarray  # postings of key i are first[i] : first[i + 1]
-    item: np.ndarray
+    item: np.ndarray  # of each posting, by key and item
     place: np.ndarray
+    order: np.ndarray  # of each posting its key's number times the number of items, and its item: ascending
+    least: np.ndarray  # shared q-grams that an occurrence of the item has at least
     seen: np.ndarray  # a table of hash bits, to pass over most grams cheaply
 
     @classmethod
@@ -77,12 +79,14 @@ class Index:
         bits = max(16, int(16 * max(1, len(keys)) - 1).bit_length())
         seen = np.zeros(1 << bits, np.bool_)
         seen[(keys & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
-        return cls(ids, texts, budgets, keys, np.r_[first, len(h)], item[order], place[order], seen)
+        number = np.repeat(np.arange(len(keys)), np.diff(np.r_[first, len(h)])) * len(texts) + item[order]
+        least = np.maximum(1, np.array([len(t) for t in texts], np.int64) + 1 - Q - budgets * Q)
+        return cls(ids, texts, budgets, keys, item[order], place[order], number, least, seen)
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of every shared q-gram."""
+        """(key's number, place in the text) of every q-gram of the text that an item has too."""
         mask = np.uint64(len(self.seen) - 1)
-        items, diagonals = [], []
+        keys, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(codes), _CHUNK):
             h = gram_hashes(codes[at : at + _CHUNK + Q - 1])
             maybe = np.flatnonzero(self.seen[(h & mask).astype(np.int64)])
@@ -90,14 +94,35 @@ class Index:
                 continue
             key = np.searchsorted(self.keys, h[maybe])
             same = self.keys[np.minimum(key, len(self.keys) - 1)] == h[maybe]
-            maybe, key = maybe[same], key[same]
-            n = self.first[key + 1] - self.first[key]
-            post = np.repeat(self.first[key] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-            items.append(self.item[post])
-            diagonals.append(np.repeat(maybe + at, n) - self.place[post])
-        if not items:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(items), np.concatenate(diagonals)
+            keys.append(key[same])
+            places.append(maybe[same] + at)
+        return np.concatenate(keys), np.concatenate(places)
+
+    def bands(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item, band) pairs that share enough q-grams with the text.  A band of number b has the diagonals from b (k + 1) to (b + 2) (k + 1) - 1.
+
+        Postings are looked at for a range of items at a time, so that a phrase that many items and many places
+        share does not have them all in memory at once.
+        """
+        key, place = self.hits(codes)
+        ranges = [(0, len(self.texts))] if len(key) else []
+        while ranges:
+            low, high = ranges.pop()
+            first = np.searchsorted(self.order, key * len(self.texts) + low)
+            n = np.searchsorted(self.order, key * len(self.texts) + high) - first
+            total = int(n.sum())
+            if total > _POSTINGS and high - low > 1:
+                ranges += [(low, (low + high) // 2), ((low + high) // 2, high)]
+            elif total:
+                post = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(total)
+                item = self.item[post]
+                band = (np.repeat(place, n) - self.place[post]) // (self.budgets[item] + 1)
+                low_band = int(band.min()) - 1
+                span = int(band.max()) - low_band + 1
+                own, counts = np.unique(np.concatenate([item * span + band - low_band, item * span + band - 1 - low_band]), return_counts=True)
+                items = own // span
+                enough = counts >= self.least[items]
+                yield items[enough], own[enough] % span + low_band
 
 
 @dataclass
@@ -192,20 +217,9 @@ def occurrences(texts: list[str], index: Index) -> Iterator[tuple[int, int, int,
             yield from ((k, i, 0, 0, len(t)) for k, x in enumerate(texts) if x == t)
     joined = "\n".join(texts)
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    item, diagonal = index.hits(codes_of(joined))
-    if not len(item):
-        return
-    width = index.budgets[item] + 1
-    band = diagonal // width
-    lengths = np.array([len(t) for t in index.texts], np.int64)
-    span = int(len(joined) + lengths.max(initial=0) + 2)
-    both = np.concatenate([item * (2 * span) + band + span, item * (2 * span) + band - 1 + span])
-    keys, counts = np.unique(both, return_counts=True)
-    items, bands = keys // (2 * span), keys % (2 * span) - span
-    least = np.maximum(1, lengths[items] + 1 - Q - index.budgets[items] * Q)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     open_: list[tuple[int, int, Candidate]] = []
-    for i, band_ in zip(items[counts >= least].tolist(), bands[counts >= least].tolist()):
+    for i, band_ in (pair for items, bands in index.bands(codes_of(joined)) for pair in zip(items.tolist(), bands.tolist())):
         k, own = int(index.budgets[i]), index.texts[i]
         low, high = band_ * (k + 1), (band_ + 2) * (k + 1) - 1
         first = max(0, int(np.searchsorted(starts, max(0, low - k), "right")) - 1)
@@ -245,7 +259,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.1) -> Dat
 
     Places are code points of the normalised text.  Null and empty texts hold nothing; null and blank items occur
     nowhere; an item shorter than a q-gram occurs where it is the whole document.  Repeated
-    rows and repeated items are each reported; other columns are not read.
+    rows and repeated items are each reported; other columns are not read; an empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, edits int, start long, end long"
@@ -266,7 +280,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.1) -> Dat
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.1) -> DataFrame:
-    """The rows of ``docs`` in which no item occurs, with all their columns."""
+    """The rows of ``docs`` in which no item occurs, with all their columns; null and empty texts stay, and without items all."""
     spark = docs.sparkSession
     for index in _indexes(benchmark, ratio):
         held = spark.sparkContext.broadcast(index)
