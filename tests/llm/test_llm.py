@@ -278,14 +278,58 @@ def test_chat(spark):
     assert set(rows) == {1, 3, 4}
     r = rows[1]
     assert (r.rejected_id, r.n_common_turns, r.prompt) == (2, 1, "<|im_start|>user\nq<|im_end|>\n")
-    for text, mask, said in ((r.chosen, r.chosen_mask, "long answer"), (r.rejected, r.rejected_mask, "short")):
-        s, e = map(int, mask.split(":"))
-        assert text[s:e] == said + "<|im_end|>"
+    for text, mask, said in ((r.chosen, r.chosen_mask, ["long answer"]), (r.rejected, r.rejected_mask, ["short", "short"])):  # a repeated row is a repeated turn
+        assert [text[s:e] for s, e in (map(int, x.split(":")) for x in mask.split(","))] == [x + "<|im_end|>" for x in said]
     assert rows[4].rejected is None
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert op5_chat.formatted(op5_chat.paired(empty)).count() == 0
 
 
+def brute_pairs(turns):
+    """What ``paired`` and ``formatted`` are to give, one conversation after the other."""
+    convs = {}
+    for conv, turn, role, text, *_ in turns:
+        if conv is not None:
+            convs.setdefault(conv, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    convs = {c: [x[1:] for x in sorted(t)] for c, t in convs.items()}
+    opening = lambda c: hashlib.md5("\x1f".join(convs[c][0]).encode()).hexdigest()
+    order = sorted(convs, key=lambda c: (opening(c), c))
+    said = lambda c: sum(len(x) for r, x in convs[c] if r == "assistant")
+    out, at = [], 0
+    while at < len(order):
+        a = order[at]
+        if at + 1 < len(order) and opening(order[at + 1]) == opening(a):
+            x, y = sorted((a, order[at + 1]), key=lambda c: (-said(c), c))
+            out.append((x, convs[x], y, convs[y]))
+            at += 2
+            continue
+        lender = order[(at + 1) % len(order)]
+        mine, theirs = ([i for i, (r, _) in enumerate(convs[c]) if r == "assistant"] for c in (a, lender))
+        if mine and theirs and lender != a:
+            out.append((a, convs[a], lender, [*convs[a][: mine[-1]], ("assistant", convs[lender][theirs[-1]][1])]))
+        else:
+            out.append((a, convs[a], None, None))
+        at += 1
+    shown = lambda t: "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in t)
+    rows = []
+    for x, a, y, b in out:
+        k = 0
+        while b is not None and k < min(len(a), len(b)) and a[k] == b[k]:
+            k += 1
+        rows.append((x, y, k, shown(a[:k]), shown(a[k:]), b and shown(b[k:])))
+    return rows
+
+
+def test_pairs_against_brute_force(spark):
+    r = random.Random(7)
+    turns = [(c, k, r.choice(["user", "assistant", None]), r.choice(["a", "bb", "ccc", None, ""]), "x", k) for c in range(120) for k in range(r.randint(1, 4))]
+    turns += [(c, 0, "user", "the same first turn", "x", 1) for c in range(200, 300)] + [(c, 1, "assistant", "w" * (c % 7), "x", 1) for c in range(200, 300)]
+    turns += turns[:15] + [(None, 0, "user", "lost", "x", 0)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, opening string, position int")  # clashing names
+    got = op5_chat.formatted(op5_chat.paired(table.repartition(4))).collect()
+    assert Counter((x.chosen_id, x.rejected_id, x.n_common_turns, x.prompt, x.chosen, x.rejected) for x in got) == Counter(brute_pairs(turns))
+
+
 def test_counts(odd, none):
     tok = load("byte_bpe_50k.json")
     got = Counter((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in op6_counts.count_tokens(odd).collect())
@@ -307,6 +351,11 @@ def test_shards(odd, none, tmp_path, spark):
     for n in (1, 2, 3, 17, 1000):
         assert sorted(op7_shards.permuted(np.arange(n), n, 5)) == list(range(n))
     got = op7_shards.assign_shards(odd, 5).collect()
+    raw = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter((d, len(x) + 8, zlib.crc32(x)) for d, x in raw)
+    rows = sorted(((d, zlib.crc32(x), len(x) + 8) for d, x in raw), key=lambda x: (x[0] is not None, x[0] or 0, *x[1:]))
+    places = op7_shards.permuted(np.arange(len(rows)), len(rows), 20240).tolist()
+    assert Counter((r.doc_id, r.text_crc32, r["shard"], r.slot) for r in got) == Counter((d, c, p % 5, p // 5) for (d, c, _), p in zip(rows, places))
     by = Counter(r["shard"] for r in got)
     assert max(by.values()) - min(by.values()) <= 1
     for k in by:
@@ -456,7 +505,7 @@ def test_signatures_are_unbiased():
     assert abs(np.mean(est) - np.mean(want)) < 0.015
 
 
-def test_leaks(spark, odd, none):
+def test_leaks(spark, odd, none, monkeypatch):
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefghiklmnoprstu") for _ in range(r.randint(2, 8)))
     items = [" ".join(word() for _ in range(r.randint(8, 40))) for _ in range(20)] + ["tiny", "", None]
@@ -477,6 +526,13 @@ def test_leaks(spark, odd, none):
     assert op10_decontaminate.clean_documents(d, b).count() == len(docs) - len({x for x, _ in want})
     assert op10_decontaminate.find_leaks(odd, b).count() == 0 and op10_decontaminate.find_leaks(none, b).count() == 0
     assert op10_decontaminate.find_leaks(d, b.limit(0)).count() == 0
+    nameless = b.withColumn("item_id", F.when(F.col("item_id") != 20, F.col("item_id"))).withColumn("doc_id", F.lit("x"))
+    assert Counter((x.doc_id, x.item_id) for x in op10_decontaminate.find_leaks(d.withColumn("item_id", F.lit(1)), nameless).collect()) == Counter((x, None if y == 20 else y) for x, y in want)
+    texts = [op10_decontaminate.normal(t) for _, t in docs]
+    index = op10_decontaminate.Index.of([(i, op10_decontaminate.normal(t)) for i, t in enumerate(items) if t], 0.1)
+    whole = sorted(op10_decontaminate.occurrences(texts, index))
+    monkeypatch.setattr(op10_decontaminate, "_POSTINGS", 5)
+    assert sorted(op10_decontaminate.occurrences(texts, index)) == whole
     assert op10_decontaminate.clean_documents(odd, b).columns == odd.columns
 
 
