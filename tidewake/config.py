@@ -45,6 +45,7 @@ class Config:
     jump_km: float = 2.0
     jump_knots: float = 60.0
     no_speed_from: float = 100.0
+    moving_from: float = 2.0
     day_slots: int = 12
     forest_days: int = 200
     forest_share: float = 0.003

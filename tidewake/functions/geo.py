@@ -32,10 +32,36 @@ def cell(value: Column, size: float) -> Column:
     return F.floor(value / size).cast("int")
 
 
-def near_cells(lat: Column, lon: Column, size: float, reach: int = 1) -> Column:
-    """The cells around a point, as an array of structs (y, x); to be exploded on the small side."""
-    span = lambda c: F.sequence(c - reach, c + reach)
-    return F.flatten(F.transform(span(cell(lat, size)), lambda y: F.transform(span(cell(lon, size)), lambda x: F.struct(y.alias("y"), x.alias("x")))))
+def columns_of(row: Column, size: float) -> Column:
+    """Cells of a row of a grid over the globe: as many as leave each at least as wide as ``size`` degrees of arc reach from any place of it.
+
+    Rows whose surroundings hold a pole are one cell.
+    """
+    edge = (F.greatest(F.abs(row), F.abs(row + 1)) + 1) * F.lit(float(size))
+    wide = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(float(size)))) / F.cos(F.radians(F.least(edge, F.lit(89.9)))))))
+    return F.when(edge + size >= 90.0, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / wide).cast("int")))
+
+
+def column_of(lon: Column, columns: Column) -> Column:
+    return F.pmod(F.floor((lon + 180.0) / 360.0 * columns).cast("int"), columns)
+
+
+def globe_cell(lat: Column, lon: Column, size: float) -> Column:
+    """The cell (y, x) of a point."""
+    y = cell(lat, size)
+    return F.struct(y.alias("y"), column_of(lon, columns_of(y, size)).alias("x"))
+
+
+def globe_cells(lat: Column, lon: Column, size: float) -> Column:
+    """All cells in which a point within ``size`` degrees of arc may lie, across the date line and the poles too; to be exploded."""
+    y = cell(lat, size)
+
+    def of(row: Column) -> Column:
+        n = columns_of(row, size)
+        x = column_of(lon, n)
+        return F.array_distinct(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.struct(row.alias("y"), F.pmod(x + d, n).alias("x"))))
+
+    return F.flatten(F.transform(F.sequence(y - 1, y + 1), of))
 
 
 def locode_coordinate(text: Column) -> tuple[Column, Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewake.config import DEFAULT, Config
 from tidewake.functions.classify import ship_group
 from tidewake.operators.gold import latest_position
+from tidewake.functions.text import search_rank
 from tidewake.operators.sequence import thinned
 
 PORT_ZONE = "Europe/Oslo"
@@ -99,6 +100,16 @@ def freshness(silver: DataFrame, built_at: str) -> DataFrame:
     return silver.agg(F.max("message_time").alias("newest_reading")).withColumn("built_at", F.lit(built_at).cast("timestamp_ntz"))
 
 
+def search(ports: DataFrame, ships: DataFrame, wanted: str, k: int = 8) -> DataFrame:
+    """label, note, rank of the ``k`` ports and ships that a typed text finds: those that begin with it first, ports (port_name, calls) by
+    falling calls, then ships (mmsi, vessel_name, ship_group) by name; a ship is found by its number too."""
+    name = F.coalesce("vessel_name", F.concat(F.lit("MMSI "), F.col("mmsi")))
+    own = ports.select(F.col("port_name").alias("label"), F.lit("Port").alias("note"), F.col("port_name").alias("_text"), F.lit(0).alias("_kind"), (-F.col("calls")).alias("_order"))
+    own = own.unionByName(ships.select(name.alias("label"), F.col("ship_group").alias("note"), F.concat_ws(" ", name, "mmsi").alias("_text"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_order")))
+    found = own.withColumn("rank", search_rank(F.col("_text"), F.lit(wanted))).filter("rank IS NOT NULL")
+    return found.orderBy("rank", "_kind", "_order", "label").limit(k).select("label", "note", "rank")
+
+
 def as_json(one_row: DataFrame, **lists: DataFrame) -> DataFrame:
     """One JSON document: the row's fields, and small frames as lists."""
     doc = one_row.select(F.struct("*").alias("_d"))
@@ -107,9 +118,10 @@ def as_json(one_row: DataFrame, **lists: DataFrame) -> DataFrame:
     return doc.select(F.to_json(F.struct("_d.*", *lists)).alias("json"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One ordered file for the dashboard: the extracts are small."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, *order: str) -> None:
+    """Files with a header whose names ascend with the order, each sorted: no task has to hold a whole fact."""
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    laid.write.mode("overwrite").csv(path, header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

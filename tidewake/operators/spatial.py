@@ -1,4 +1,4 @@
-"""Spatial joins: boxes and radii by grid cells, nearest neighbour among a bounded set, intervals."""
+"""Spatial joins: boxes and radii by grid cells, nearest neighbours in growing cells, intervals."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.config import DEFAULT
-from tidewake.functions.geo import cell, haversine, in_box, near_cells
+from tidewake.functions.geo import cell, globe_cell, globe_cells, haversine, in_box
 
-#: Rows up to which a place table is sent to every executor (about 200 bytes each).
-BROADCAST_ROWS = 50_000
+#: Rows up to which a place table is sent to every executor and compared in full (about 200 bytes each).
+BROADCAST_ROWS = 2_000
+#: Kilometres of a degree of arc.
+DEGREE_KM = DEFAULT.earth_km * 3.141592653589793 / 180.0
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -17,32 +19,31 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def nearest(points: DataFrame, places: DataFrame, key: list[str], place_id: str, lat: str, lon: str, start_degrees: float = 1.0) -> DataFrame:
+def nearest(points: DataFrame, places: DataFrame, key: list[str], place_id: str, lat: str, lon: str, start_degrees: float = 1.0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """key, place_id, km: the nearest place of each point (tie: the lower id); points without a position are left out.
 
-    A small place table is broadcast and compared in full, with a partial ``min``.  A large one is joined
-    by cells in rings that grow until every point has a place that is certainly the nearest.
+    A small place table is broadcast and compared in full, with a partial ``min``.  A larger one is joined by cells of the globe
+    that grow until every point has a place that is certainly the nearest; a round holds only the points that are left.  Both give the same.
     """
-    at = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(*key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    own = places.select(F.col(place_id).alias("_id"), F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"))
+    at = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(*key, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
+    own = places.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(F.col(place_id).alias("_id"), F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"))
     km = haversine(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
     best = F.min(F.struct(F.col("_km"), F.col("_id"))).alias("b")
-    if small(places):
-        found = at.join(F.broadcast(own)).withColumn("_km", km).groupBy(*key).agg(best)
-        return found.select(*key, F.col("b._id").alias(place_id), F.col("b._km").alias("km"))
-    out, size = None, start_degrees
+    out = lambda found: found.select(*key, F.col("b._id").alias(place_id), F.col("b._km").alias("km"))
+    if small(places, broadcast_rows):
+        return out(at.join(F.broadcast(own)).withColumn("_km", km).groupBy(*key).agg(best))
+    done, size = None, start_degrees
     while True:
-        cells = own.withColumn("c", F.explode(near_cells(F.col("_plat"), F.col("_plon"), size)))
-        met = at.withColumn("c", F.struct(cell(F.col("_lat"), size).alias("y"), cell(F.col("_lon"), size).alias("x"))).join(cells, "c")
+        if size < 90:
+            met = at.withColumn("_c", globe_cell(F.col("_lat"), F.col("_lon"), size)).join(own.withColumn("_c", F.explode(globe_cells(F.col("_plat"), F.col("_plon"), size))), "_c")
+        else:  # points this far from any place, of which an open sea has few
+            met = at.withColumn("_c", F.lit(0)).join(own.withColumn("_c", F.lit(0)), "_c")
         found = met.withColumn("_km", km).groupBy(*key).agg(best)
-        sure = F.lit(size) * 111.0 * F.cos(F.radians(F.least(F.abs(F.col("_lat")) + size, F.lit(89.0))))
-        found = at.join(found, key).filter((F.col("b._km") <= sure) | F.lit(size > 180)).select(*key, F.col("b._id").alias(place_id), F.col("b._km").alias("km"))
-        out = found if out is None else out.unionByName(found)
-        if size > 180:
-            return out
-        at = at.join(found.select(*key), key, "left_anti")
-        if at.isEmpty():
-            return out
+        sure = out(found.filter(F.col("b._km") <= size * DEGREE_KM) if size < 90 else found).persist()
+        done = sure if done is None else done.unionByName(sure)
+        at = at.join(sure.select(*key), key, "left_anti").persist()
+        if size >= 90 or at.isEmpty():
+            return done
         size *= 4
 
 
@@ -62,25 +63,33 @@ def in_boxes(points: DataFrame, boxes: DataFrame, lat: str, lon: str, metres: fl
 
 
 def near_places(points: DataFrame, places: DataFrame, lat: str, lon: str, degrees: float = DEFAULT.place_box_degrees) -> DataFrame:
-    """Points joined with the places within ``degrees`` in both directions, with their distance ``metres``."""
-    own = places.withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"}).withColumn("_c", F.explode(near_cells(F.col("_plat"), F.col("_plon"), degrees)))
-    here = points.withColumn("_c", F.struct(cell(F.col(lat), degrees).alias("y"), cell(F.col(lon), degrees).alias("x")))
-    met = here.join(own, "_c").filter((F.abs(F.col("_plat") - F.col(lat)) <= degrees) & (F.abs(F.col("_plon") - F.col(lon)) <= degrees))
+    """Points joined with the places within ``degrees`` of latitude and as far in longitude, where a degree shrinks with the point's latitude,
+    with their distance ``metres``."""
+    size = 1.5 * degrees  # a box's corner is farther than its sides
+    own = places.withColumnsRenamed({"latitude": "_plat", "longitude": "_plon"}).withColumn("_c", F.explode(globe_cells(F.col("_plat"), F.col("_plon"), size)))
+    here = points.withColumn("_c", globe_cell(F.col(lat), F.col(lon), size))
+    met = here.join(own, "_c").filter((F.abs(F.col("_plat") - F.col(lat)) <= degrees) & (F.abs(F.col("_plon") - F.col(lon)) <= F.lit(degrees) / F.cos(F.radians(F.col(lat)))))
     return met.withColumn("metres", haversine(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0).drop("_c", "_plat", "_plon")
 
 
 def alone(points: DataFrame, lat: str, lon: str, owner: str, km: float) -> DataFrame:
-    """Points that have no point of another owner within ``km``.
+    """Points that have no point of another owner within ``km``; points of no owner or place are left out.
 
-    A cell's points of one owner are one candidate each; neighbours come from the cells around (more of them across in high latitudes).
+    First by cells so small that all their points are near each other: where two owners meet, none is alone, and a crowd is never
+    compared.  The few that are left are compared with the distinct points around them.
     """
-    size = km / 111.0
-    reach = F.least(F.ceil(F.lit(1.0) / F.cos(F.radians(F.least(F.abs(F.col(lat)) + size, F.lit(85.0))))), F.lit(12)).cast("int")
-    own = points.withColumn("_pid", F.xxhash64(*points.columns)).withColumn("_y", cell(F.col(lat), size)).withColumn("_x", cell(F.col(lon), size))
-    around = own.withColumn("_c", F.explode(F.flatten(F.transform(F.sequence(F.col("_y") - 1, F.col("_y") + 1), lambda y: F.transform(F.sequence(F.col("_x") - reach, F.col("_x") + reach), lambda x: F.struct(y.alias("y"), x.alias("x")))))))
-    others = own.select(F.struct(F.col("_y").alias("y"), F.col("_x").alias("x")).alias("_c"), F.col(owner).alias("_o"), F.col(lat).alias("_olat"), F.col(lon).alias("_olon")).distinct()
-    met = around.join(others, "_c").filter((F.col("_o") != F.col(owner)) & (haversine(F.col(lat), F.col(lon), F.col("_olat"), F.col("_olon")) <= km))
-    return own.join(met.select("_pid").distinct(), "_pid", "left_anti").select(*points.columns)
+    size = km / DEGREE_KM
+    own = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull() & F.col(owner).isNotNull()).withColumn("_pid", F.xxhash64(*points.columns))
+    # A third of the reach in both directions; at this latitude's narrower edge a column is no wider than that.
+    fine = size / 3.0
+    y = cell(F.col(lat), fine)
+    around = F.greatest(F.lit(1.0), F.ceil(360.0 * F.cos(F.radians(F.least(F.abs(y), F.abs(y + 1)) * F.lit(fine))) / fine))
+    own = own.withColumn("_f", F.struct(y.alias("y"), F.floor((F.col(lon) + 180.0) / 360.0 * around).cast("long").alias("x")))
+    owners = own.groupBy("_f").agg(F.min(owner).alias("_a"), F.max(owner).alias("_b"))
+    left = own.join(owners.filter("_a = _b").select("_f"), "_f", "left_semi").withColumn("_c", globe_cell(F.col(lat), F.col(lon), size))
+    others = own.select(F.col(owner).alias("_o"), F.col(lat).alias("_olat"), F.col(lon).alias("_olon")).distinct().withColumn("_c", F.explode(globe_cells(F.col("_olat"), F.col("_olon"), size)))
+    met = left.join(others, "_c").filter((F.col("_o") != F.col(owner)) & (haversine(F.col(lat), F.col(lon), F.col("_olat"), F.col("_olon")) <= km))
+    return left.join(met.select("_pid").distinct(), "_pid", "left_anti").select(*points.columns)
 
 
 def within(spans: DataFrame, events: DataFrame, key: str, start: str, end: str, at: str, how: str = "inner") -> DataFrame:

@@ -25,7 +25,7 @@ READINGS = {
     "longitude": "5e0 + (user_id % 30) * 0.4e0 + (event_id % 9) * 0.003e0",
     "name": "CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('SHIP ', CAST(user_id AS VARCHAR(20))) END",
     "ship_type": "CAST((user_id * 7) % 100 AS INTEGER)",
-    "destination": "CASE event_id % 4 WHEN 0 THEN 'FRANCE' WHEN 1 THEN 'no 004' WHEN 2 THEN ' ' ELSE 'the port of  china!' END",
+    "destination": "CASE event_id % 4 WHEN 0 THEN concat('til nordhavn  ', CAST(floor((user_id % 120) / 4e0) AS INTEGER), '!') WHEN 1 THEN concat('no ', lpad(CAST(CAST(floor((user_id % 120) / 4e0) AS INTEGER) AS VARCHAR(9)), 3, '0')) WHEN 2 THEN ' ' ELSE 'fishing grounds' END",
     "received_at": "ts + INTERVAL 1 HOUR",
 }
 RAW = {
@@ -55,28 +55,47 @@ CALLS = {
     "stop_longitude": "longitude",
 }
 MINUTES = "CAST(floor(speed_over_ground) AS INTEGER) * CASE WHEN event_id % 41 = 0 THEN 60 ELSE 1 END + 1"
+#: Ships keep to 120 spots, by user.  Ports lie at every fourth of the first hundred, places and farms at spots of their own, so that stops
+#: alongside, at anchor, at a farm and in the open sea all occur.
+_SPOT = {"latitude": "58e0 + ({0} % 40) * 0.25e0 + {1}", "longitude": "5e0 + ({0} % 30) * 0.4e0 + {1}"}
+
+
+def _spot(number: str, off: str, name: str) -> str:
+    return _SPOT[name].format(number, off)
+
+
 PORTS = {
     "port_locode": "concat('NO', lpad(CAST(n_nationkey AS VARCHAR(9)), 3, '0'))",
-    "port_name": "n_name",
-    "latitude": "58e0 + n_nationkey * 0.4e0",
-    "longitude": "5e0 + ((n_nationkey * 7) % 25) * 0.5e0",
+    "port_name": "concat(CASE n_nationkey % 3 WHEN 0 THEN 'Nordhavn ' WHEN 1 THEN 'Sandvík ' ELSE 'Ålvøy ' END, CAST(n_nationkey AS VARCHAR(9)))",
+    "latitude": _spot("(n_nationkey * 4)", "0.01e0", "latitude"),
+    "longitude": _spot("(n_nationkey * 4)", "0.01e0", "longitude"),
 }
 PLACES = {
     "location_id": "s_suppkey",
     "locode": "concat('NO', lpad(CAST(s_suppkey % 1000 AS VARCHAR(9)), 3, '0'))",
     "location_name": "s_name",
-    "kind": "CASE s_suppkey % 4 WHEN 0 THEN 'quay' WHEN 1 THEN 'ferry_quay' WHEN 2 THEN 'anchorage' ELSE 'harbour' END",
-    "latitude": "58e0 + (s_suppkey % 200) * 0.05e0 + 0.001e0",
-    "longitude": "5e0 + ((s_suppkey * 7) % 240) * 0.05e0 + 0.001e0",
+    "kind": "CASE s_suppkey % 7 WHEN 0 THEN 'anchorage' WHEN 1 THEN 'ferry_quay' WHEN 2 THEN 'harbour' WHEN 3 THEN 'port_facility' ELSE 'quay' END",
+    "latitude": _spot("s_suppkey", "0.012e0", "latitude"),
+    "longitude": _spot("s_suppkey", "0.012e0", "longitude"),
 }
 BOXES = {
     "osm_id": "CAST(r_regionkey AS BIGINT)",
-    "kind": "'pier'",
+    "kind": "'fish farm'",
     "name": "CASE WHEN r_regionkey = 2 THEN NULL ELSE r_name END",
-    "min_lat": "58e0 + r_regionkey * 1e0",
-    "min_lon": "5e0 + r_regionkey * 1.6e0",
-    "max_lat": "58.02e0 + r_regionkey * 1e0",
-    "max_lon": "5.02e0 + r_regionkey * 1.6e0",
+    "min_lat": _spot("(r_regionkey * 24 + 2)", "0e0", "latitude"),
+    "min_lon": _spot("(r_regionkey * 24 + 2)", "0e0", "longitude"),
+    "max_lat": _spot("(r_regionkey * 24 + 2)", "0.015e0", "latitude"),
+    "max_lon": _spot("(r_regionkey * 24 + 2)", "0.015e0", "longitude"),
+}
+#: A mapped pier at most places.
+PIERS = {
+    "osm_id": "s_suppkey",
+    "kind": "CASE WHEN s_suppkey % 2 = 0 THEN 'pier' ELSE 'dock' END",
+    "name": "CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_name END",
+    "min_lat": _spot("s_suppkey", "0.011e0", "latitude"),
+    "min_lon": _spot("s_suppkey", "0.011e0", "longitude"),
+    "max_lat": _spot("s_suppkey", "0.013e0", "latitude"),
+    "max_lon": _spot("s_suppkey", "0.013e0", "longitude"),
 }
 
 
@@ -95,6 +114,7 @@ CTES = {
     "ports": _sql(PORTS, "nation"),
     "places": _sql(PLACES, "supplier"),
     "boxes": _sql(BOXES, "region"),
+    "piers": _sql(PIERS, "supplier", "WHERE s_suppkey % 3 <> 0"),
 }
 
 
@@ -136,3 +156,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(load(spark, sf_dir, "region"), BOXES)
+
+
+def piers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frame(load(spark, sf_dir, "supplier").filter("s_suppkey % 3 <> 0"), PIERS)
