@@ -5,14 +5,20 @@ Late data beyond the watermark is left to the batch rebuild, which accepts it wi
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidewake.config import DEFAULT, Config
+from tidewake.functions.classify import reading
 from tidewake.operators import silver
-from tidewake.operators.store import Warehouse, route
+from tidewake.operators.store import Warehouse, finish_routing, route, routed
 from tidewake.schemas import RAW, SILVER, conform
 
 
@@ -40,12 +46,48 @@ def sight_segments(stream: DataFrame, late: str = "1 hour", gap: str = "30 minut
     return s.select("mmsi", "start", "end", "n")
 
 
-def silver_stream(stream: DataFrame, house: Warehouse, checkpoint: str, as_of: datetime | None = None) -> StreamingQuery:
-    """Validate each micro-batch against what was accepted before, and append both outcomes."""
+CHANGES = "mmsi int, state string, start timestamp, end timestamp, n_readings long"
+
 
-    def batch(df: DataFrame, _: int) -> None:
-        when = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-        if not df.isEmpty():
-            route(house, silver.staged(conform(df, RAW), when, house.read("silver", SILVER)))
+def state_changes(stream: DataFrame, c: Config = DEFAULT, late: str = "1 hour") -> DataFrame:
+    """mmsi, state, start, end, n_readings of each run of a state that has ended: per-ship state that outlives a restart.
+
+    Within a micro-batch a ship's readings are taken in order; one older than what the ship's state has seen is left to the batch rebuild.
+    A run ends with another state or a gap; the state holds the run under way, a row a ship.
+    """
+    timed = stream.withColumn("event_time", F.col("msgtime").cast("timestamp")).withWatermark("event_time", late)
+    state = reading(F.col("speedOverGround").cast("double"), F.col("navigationalStatus"), c)["state"].alias("state")
+    classed = timed.filter("mmsi IS NOT NULL AND event_time IS NOT NULL").select("mmsi", "event_time", state)
+    gap = pd.Timedelta(minutes=c.max_gap_minutes)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        now = held.get if held.exists else None
+        ended = []
+        rows = pd.concat(list(frames)).sort_values(["event_time", "state"])
+        for at, name in zip(rows["event_time"], rows["state"]):
+            if now is None:
+                now = (name, at, at, 1)
+            elif at > now[2]:
+                if name == now[0] and at - now[2] <= gap:
+                    now = (name, now[1], at, now[3] + 1)
+                else:
+                    ended.append((key[0], *now))
+                    now = (name, at, at, 1)
+        if now is not None:
+            held.update(now)
+        yield pd.DataFrame(ended, columns=["mmsi", "state", "start", "end", "n_readings"])
+
+    return classed.groupBy("mmsi").applyInPandasWithState(step, CHANGES, "state string, start timestamp, end timestamp, n_readings long", "append", GroupStateTimeout.NoTimeout)
+
+
+def silver_stream(stream: DataFrame, house: Warehouse, checkpoint: str, as_of: datetime | None = None) -> StreamingQuery:
+    """Validate each micro-batch against what was accepted before, and append both outcomes, once: a batch that is retried is known by its label."""
+    name = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+    def batch(df: DataFrame, number: int) -> None:
+        when, label = as_of or datetime.now(timezone.utc).replace(tzinfo=None), f"stream-{name}-{number}"
+        finish_routing(house)
+        if not routed(house, label):
+            route(house, silver.staged(conform(df, RAW), when, house.read("silver", SILVER)), label)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
