@@ -85,10 +85,10 @@ def teleports(silver: DataFrame, knots: float = 50.0) -> DataFrame:
 def suspicious(silver: DataFrame) -> DataFrame:
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     tests = {
-        "outside the area": ~(lat.between(55, 82) & lon.between(-15, 45)),
-        "at 0, 0": (lat == 0) & (lon == 0),
-        "over 50 knots": F.col("speed_over_ground") > 50,
-        "received a day late": F.timestamp_diff("SECOND", F.col("message_time"), F.col("received_at")) > 86400,
+        "Outside Norwegian waters": ~(lat.between(55, 82) & lon.between(-15, 45)),
+        "Exactly 0,0 (no GPS fix)": (lat == 0) & (lon == 0),
+        "Reported speed over 50 knots": F.col("speed_over_ground") > 50,
+        "Received over 1 day after it was sent": F.timestamp_diff("SECOND", F.col("message_time"), F.col("received_at")) > 86400,
     }
     return silver.agg(*[F.count_if(v).alias(k) for k, v in tests.items()]).unpivot([], list(tests), "problem", "n")
 
@@ -144,17 +144,21 @@ def farthest_stops(fact: DataFrame, vessels: DataFrame, k: int = 10) -> DataFram
 
 def audit(t: dict[str, DataFrame]) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
     """name -> (section, check) over the tables bronze, silver, quarantine, periods, port_calls, fact, vessels, ports."""
-    count = lambda name: t[name].agg(F.lit(name).alias("table"), F.count("*").alias("n"), F.count_distinct("mmsi").alias("ships"))
+    layers = {"Bronze (raw)": "bronze", "Silver (clean)": "silver", "Quarantine (rejected)": "quarantine", "State periods": "periods", "Port calls (Python)": "port_calls", "Port calls (Gold fact)": "fact"}
 
     def tables() -> DataFrame:
-        out = None
-        for name in ("bronze", "silver", "quarantine", "periods", "port_calls", "fact", "vessels"):
-            out = count(name) if out is None else out.unionByName(count(name))
+        out = t["silver"].agg(F.lit("Ships seen").alias("layer"), F.count_distinct("mmsi").alias("n"))
+        for title, name in layers.items():
+            out = out.unionByName(t[name].agg(F.lit(title).alias("layer"), F.count("*").alias("n")))
         return out
 
+    def span() -> DataFrame:
+        days = t["silver"].groupBy(F.col("received_at").cast("date").alias("day"))
+        return days.agg(F.count_distinct("received_at").alias("polls"), F.count("*").alias("readings"), F.count_distinct("mmsi").alias("ships"), F.min("message_time").alias("first_sighting"), F.max("message_time").alias("last_sighting")).orderBy("day")
+
     return {
         "what is in the warehouse": ("overview", tables),
-        "readings by day": ("overview", lambda: t["silver"].groupBy(F.col("message_time").cast("date").alias("day")).agg(F.count("*").alias("n"), F.count_distinct("received_at").alias("polls"), F.count_distinct("mmsi").alias("ships")).orderBy("day")),
+        "silver time span": ("overview", span),
         "why rows were rejected": ("raw input", lambda: shares(t["quarantine"], F.col("rejection_reason"), "reason").orderBy(F.desc("n"), "reason")),
         "suspicious accepted values": ("raw input", lambda: suspicious(t["silver"])),
         "teleporting ships": ("raw input", lambda: teleports(t["silver"])),

@@ -121,7 +121,7 @@ def as_json(one_row: DataFrame, **lists: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, *order: str) -> None:
     """Files with a header whose names ascend with the order, each sorted: no task has to hold a whole fact."""
     laid = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
-    laid.write.mode("overwrite").csv(path, header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    laid.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, header=True)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

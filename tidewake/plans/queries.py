@@ -187,15 +187,16 @@ def latest_position(s, d):
     return gold.latest_position(_track(s, d)).select("mmsi", "slot_start", "message_time", "latitude", "longitude", "speed_over_ground")
 
 
+_LOCODE = "concat(CASE WHEN n_nationkey % 6 = 5 THEN 'SJ' ELSE 'NO' END, lpad(CAST(n_nationkey AS VARCHAR(9)), 3, '0'))"
 _CODE = "concat(lpad(CAST(58 + n_nationkey % 20 AS VARCHAR(9)), 2, '0'), lpad(CAST((n_nationkey * 7) % 60 AS VARCHAR(9)), 2, '0'), CASE WHEN n_nationkey % 5 = 0 THEN 'S ' ELSE 'N ' END, lpad(CAST(5 + n_nationkey AS VARCHAR(9)), 3, '0'), lpad(CAST((n_nationkey * 13) % 60 AS VARCHAR(9)), 2, '0'), CASE WHEN n_nationkey % 7 = 0 THEN 'W' ELSE 'E' END)"
 _PARSED = {
-    "codes": f"SELECT concat('NO', lpad(CAST(n_nationkey AS VARCHAR), 3, '0')) AS port_locode, n_name AS port_name, {_CODE} AS coordinates FROM nation",
+    "codes": f"SELECT {_LOCODE} AS port_locode, n_name AS port_name, {_CODE} AS coordinates FROM nation",
     "dim_port": "SELECT port_locode, port_name, (CAST(substr(coordinates, 1, 2) AS DOUBLE) + CAST(substr(coordinates, 3, 2) AS DOUBLE) / 60e0) * CASE substr(coordinates, 5, 1) WHEN 'S' THEN -1 ELSE 1 END AS latitude, (CAST(substr(coordinates, 7, 3) AS DOUBLE) + CAST(substr(coordinates, 10, 2) AS DOUBLE) / 60e0) * CASE substr(coordinates, 12, 1) WHEN 'W' THEN -1 ELSE 1 END AS longitude FROM codes",
 }
 
 
 def _dim_port(s, d):
-    codes = t.load(s, d, "nation").select(F.expr(t.PORTS["port_locode"]).alias("locode"), F.col("n_name").alias("port_name"), F.lit(None).cast("string").alias("subdivision"), F.lit(None).cast("string").alias("status"), F.expr(_CODE).alias("coordinates"))
+    codes = t.load(s, d, "nation").select(F.expr(_LOCODE).alias("locode"), F.col("n_name").alias("port_name"), F.lit(None).cast("string").alias("subdivision"), F.lit(None).cast("string").alias("status"), F.expr(_CODE).alias("coordinates"))
     return gold.dim_port(codes)
 
 
@@ -211,9 +212,9 @@ def arcminute_violations(s, d):
     return quality.arcminute_violations(both).select("port_locode")
 
 
-@query("outside_box_violations", with_ctes([], _PARSED, "SELECT port_locode FROM dim_port WHERE NOT (latitude BETWEEN 57 AND 72 AND longitude BETWEEN 4 AND 32)"))
+@query("outside_box_violations", with_ctes([], _PARSED, "SELECT port_locode FROM dim_port WHERE starts_with(port_locode, 'NO') AND NOT (latitude BETWEEN 57 AND 72 AND longitude BETWEEN 4 AND 32) OR starts_with(port_locode, 'SJ') AND NOT (latitude BETWEEN 70 AND 82 AND longitude BETWEEN -10 AND 35)"))
 def outside_box_violations(s, d):
-    return quality.outside_violations(_dim_port(s, d), {"NO": (57, 72, 4, 32)}).select("port_locode")
+    return quality.outside_violations(_dim_port(s, d), {"NO": (57, 72, 4, 32), "SJ": (70, 82, -10, 35)}).select("port_locode")
 
 
 @query("stop_centroid", with_ctes(["calls"], {}, "SELECT c.mmsi, c.berth_start, round(avg(r.latitude), 6) AS stop_latitude, round(avg(r.longitude), 6) AS stop_longitude FROM calls c JOIN readings r ON r.mmsi = c.mmsi AND r.message_time BETWEEN c.berth_start AND c.berth_end GROUP BY 1, 2"))
@@ -437,7 +438,7 @@ def visit_type_violations(s, d):
     return quality.visit_type_violations(planted).select("mmsi", "berth_start")
 
 
-@query("suspicious_values", with_ctes(["readings"], {}, "SELECT 'outside the area' AS problem, count(*) FILTER (WHERE NOT (latitude BETWEEN 55 AND 82 AND longitude BETWEEN -15 AND 45)) AS n FROM readings UNION ALL SELECT 'at 0, 0', count(*) FILTER (WHERE latitude = 0 AND longitude = 0) FROM readings UNION ALL SELECT 'over 50 knots', count(*) FILTER (WHERE speed_over_ground > 50) FROM readings UNION ALL SELECT 'received a day late', count(*) FILTER (WHERE epoch(received_at) - epoch(message_time) > 86400) FROM readings"))
+@query("suspicious_values", with_ctes(["readings"], {}, "SELECT 'Outside Norwegian waters' AS problem, count(*) FILTER (WHERE NOT (latitude BETWEEN 55 AND 82 AND longitude BETWEEN -15 AND 45)) AS n FROM readings UNION ALL SELECT 'Exactly 0,0 (no GPS fix)', count(*) FILTER (WHERE latitude = 0 AND longitude = 0) FROM readings UNION ALL SELECT 'Reported speed over 50 knots', count(*) FILTER (WHERE speed_over_ground > 50) FROM readings UNION ALL SELECT 'Received over 1 day after it was sent', count(*) FILTER (WHERE epoch(received_at) - epoch(message_time) > 86400) FROM readings"))
 def suspicious_values(s, d):
     return quality.suspicious(t.readings(s, d))
 
@@ -485,9 +486,13 @@ def stay_histogram(s, d):
     return serving.stay_histogram(t.calls(s, d))
 
 
-@query("hour_histogram", with_ctes(["calls"], {}, "SELECT CAST(hour(arrival_time + INTERVAL 1 HOUR) AS INT) AS hour, count(*) AS n FROM calls GROUP BY 1"))
+_SEASON = "arrival_time + CASE WHEN minutes_alongside % 2 = 0 THEN INTERVAL 181 DAY ELSE INTERVAL 0 DAY END"
+
+
+@query("hour_histogram", with_ctes(["calls"], {}, f"SELECT CAST(hour(({_SEASON}) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Oslo') AS INT) AS hour, count(*) AS n FROM calls GROUP BY 1"))
 def hour_histogram(s, d):
-    return serving.hour_histogram(t.calls(s, d))
+    """In winter and in summer time."""
+    return serving.hour_histogram(t.calls(s, d).withColumn("arrival_time", F.expr(_SEASON)))
 
 
 @query("distance_bands", with_ctes(FACT_FROM, FACT, "SELECT round(100.0e0 * count(*) FILTER (WHERE nearest_port_km <= 5) / count(*), 2) AS near, round(100.0e0 * count(*) FILTER (WHERE nearest_port_km > 5 AND nearest_port_km <= 50) / count(*), 2) AS middle, round(100.0e0 * count(*) FILTER (WHERE nearest_port_km > 50) / count(*), 2) AS far FROM fact"))
@@ -734,6 +739,9 @@ def anomaly_top_per_kind(s, d):
     return anomalies.interleaved(found).select("kind", "mmsi", "score", "place")
 
 
+from tidewake.plans import more  # noqa: E402, F401 - registers its queries
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_reject_breakdown(spark, sf_dir)
 
