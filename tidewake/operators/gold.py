@@ -53,8 +53,8 @@ TRACK_FIELDS = ("latitude", "longitude", "speed_over_ground", "course_over_groun
 
 def vessel_track(silver: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """The last reading of each ship in each ten-minute slot, over the days before the newest reading."""
-    newest = silver.agg(F.max("message_time").alias("newest"))
-    recent = silver.join(F.broadcast(newest)).filter(F.col("message_time") > F.col("newest") - F.expr(f"INTERVAL {c.track_days} DAYS"))
+    newest = silver.agg(F.max("message_time").alias("at")).first()["at"]  # as a literal it reaches the scan
+    recent = silver.filter(F.col("message_time") > F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {c.track_days} DAYS"))
     slot = F.window("message_time", f"{c.slot_minutes} minutes")["start"].alias("slot_start")
     have = [f for f in TRACK_FIELDS if f in silver.columns]
     return recent.groupBy("mmsi", slot).agg(F.max("message_time").alias("message_time"), *[last_known(f, "message_time") for f in have])

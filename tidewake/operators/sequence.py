@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewake.config import DEFAULT, Config
 from tidewake.functions.classify import completeness, reading
 from tidewake.functions.geo import haversine
+from tidewake.operators.spatial import small
 
 STOPPED = ("anchored", "berthed")
 
@@ -182,6 +183,10 @@ def sailed_km(route: DataFrame, order: str = "slot_start") -> DataFrame:
     return route.withColumn("_km", F.when(~F.col("after_gap"), step)).groupBy("mmsi").agg(F.coalesce(F.sum("_km"), F.lit(0.0)).alias("km"))
 
 
+#: Times up to which they are sent to every executor.
+MOST_TIMES = 10_000
+
+
 def as_of(route: DataFrame, times: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """For each of the ``times`` (t) and each ship its last point at or before; hidden if it is stale and the ship is out of sight.
 
@@ -189,7 +194,7 @@ def as_of(route: DataFrame, times: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """
     w = Window.partitionBy("mmsi").orderBy("message_time")
     points = route.select("mmsi", "message_time", "latitude", "longitude", F.lead("message_time").over(w).alias("next_time"), F.lead("after_gap").over(w).alias("next_after_gap"))
-    asked = route.select("mmsi").distinct().crossJoin(F.broadcast(times.select("t")))  # the times are the query's own list
+    asked = route.select("mmsi").distinct().crossJoin(F.broadcast(times.select("t")) if small(times, MOST_TIMES) else times.select("t"))  # a row per ship and time is the result
     own = points.select("mmsi", F.col("message_time").alias("t"), F.struct("message_time", "latitude", "longitude", "next_time", "next_after_gap").alias("p"), F.lit(0).alias("k"))
     rows = own.unionByName(asked.select("mmsi", "t", F.lit(None).cast(own.schema["p"].dataType).alias("p"), F.lit(1).alias("k")))
     held = rows.withColumn("at", F.last("p", ignorenulls=True).over(Window.partitionBy("mmsi").orderBy("t", "k").rowsBetween(Window.unboundedPreceding, 0)))

@@ -39,8 +39,8 @@ def ships_extract(track: DataFrame, fact: DataFrame, vessels: DataFrame, newest:
 
 def routes_extract(track: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """Thinned routes of the last days in narrow types."""
-    newest = newest_reading(track, "slot_start")
-    recent = track.join(F.broadcast(newest)).filter(F.col("slot_start") > F.col("newest") - F.expr(f"INTERVAL {c.route_days} DAYS")).drop("newest")
+    newest = newest_reading(track, "slot_start").first()["newest"]
+    recent = track.filter(F.col("slot_start") > F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {c.route_days} DAYS"))
     return thinned(recent, c).select(
         "mmsi",
         F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("message_time")).cast("int").alias("t"),

@@ -11,6 +11,8 @@ from tidewake.functions.classify import first_match
 from tidewake.schemas import RENAMED
 
 KEY = ("mmsi", "msgtime")
+#: Parts in which rows without a whole key are ranked first.
+PARTS = 64
 
 
 def newer_than(bronze: DataFrame, since: datetime | None) -> DataFrame:
@@ -50,15 +52,25 @@ def staged(batch: DataFrame, as_of: datetime, silver: DataFrame | None = None) -
     """``batch`` with rejection_reason.
 
     Copies of (mmsi, msgtime) are ranked before anything is validated, null keys as one group; ``silver`` has
-    the keys accepted before.  One shuffle by the key serves ranking and look-up.
+    the keys accepted before, of which those within the batch's times are looked at.  One shuffle by the key serves ranking and
+    look-up; rows without a whole key, which may be many, are first ranked in parts.
     """
     tie = F.concat_ws("|", *[F.col(c).cast("string") for c in ("latitude", "longitude", "speedOverGround", "courseOverGround", "navigationalStatus", "name")])
-    ranked = batch.withColumn("_rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.col("received_at").asc_nulls_last(), tie)))
+    order = [F.col("received_at").asc_nulls_last(), tie]
+    whole = F.col("mmsi").isNotNull() & F.col("msgtime").isNotNull()
+    ranked = batch.filter(whole).withColumn("_rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)))
+    parts = batch.filter(~whole).withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)))
+    parts = parts.withColumn("_rank", F.row_number().over(Window.partitionBy(*KEY, "_part").orderBy(*order))).drop("_part")
+    best = parts.filter("_rank = 1").withColumn("_rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)))
     known = F.lit(False)
     if silver is not None:
-        keys = silver.select("mmsi", F.col("message_time").alias("msgtime")).distinct().withColumn("_known", F.lit(True))
-        ranked = ranked.join(keys, list(KEY), "left")
+        ends = batch.agg(F.min("msgtime").alias("low"), F.max("msgtime").alias("high")).first()  # literals reach the scan
+        keys = silver.select("mmsi", F.col("message_time").alias("msgtime"))
+        if ends["low"] is not None:
+            keys = keys.filter(F.col("msgtime").between(*(F.lit(x).cast("timestamp_ntz") for x in ends)))
+        ranked = ranked.join(keys.distinct().withColumn("_known", F.lit(True)), list(KEY), "left")
         known = F.coalesce(F.col("_known"), F.lit(False))
+    ranked = ranked.unionByName(best, allowMissingColumns=True).unionByName(parts.filter("_rank > 1"), allowMissingColumns=True)
     out = ranked.withColumn("rejection_reason", rejection(F.lit(as_of).cast("timestamp_ntz"), F.col("_rank") != 1, known))
     return out.select(*batch.columns, "rejection_reason")
 
