@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import os
 import random
 import re
 import zlib
@@ -625,3 +626,36 @@ def test_shards_and_sequences_written_from_skewed_rows(spark, tmp_path):
         assert len(x.ids) <= 32 and x.offsets[0] == 0
         got.update((d, tuple(x.ids[a:b])) for d, a, b in zip(x.doc_ids, x.offsets, [*x.offsets[1:], len(x.ids)]))
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the driver's tables are not here")
+def test_recall_on_the_documents(spark):
+    """Every pair of the small corpus that is similar, by brute force over shared shingles, is in one class; and nothing else is."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    bags, held = {}, {}
+    for r in docs:
+        w = op9_minhash.words_of(r.text)
+        bags[r.doc_id] = Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+        for g in bags[r.doc_id] or [None]:
+            held.setdefault(g, []).append(r.doc_id)
+    pairs = {(a, b) for ids in held.values() for i, a in enumerate(ids) for b in ids[:i]}
+    close = []
+    for a, b in pairs:
+        inter, union = sum((bags[a] & bags[b]).values()), sum((bags[a] | bags[b]).values())
+        if inter >= 0.8 * union:
+            close.append((a, b))
+    root = {r.doc_id: r.doc_id for r in docs}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in close:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.doc_id: r.class_id for r in op9_minhash.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    near = [(a, b) for a, b in close if bags[a] != bags[b]]
+    found = sum(got[a] == got[b] for a, b in near)
+    assert near and found >= 0.99 * len(near), (found, len(near))
+    assert all(find(i) == find(c) for i, c in got.items())
