@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_SCRATCH: dict[str, str] = {}
+_STAGED: list[str] = []
 
 #: Most bytes of texts that a Python worker handles at once (a longer text is one block).
 BLOCK_BYTES = 1_000_000
@@ -51,6 +52,7 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> tuple[DataFrame,
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
+    _STAGED.append(path)
     own = spark.conf.get(_BATCH)
     spark.conf.set(_BATCH, BATCH_BYTES)
     try:
@@ -60,8 +62,21 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> tuple[DataFrame,
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def staged_paths() -> set[str]:
+    """The staged tables of this driver that have not been deleted."""
+    return set(_STAGED)
+
+
+def release(spark: SparkSession, paths: set[str]) -> None:
+    """Delete staged tables, when the results that read them are written."""
+    for path in paths:
+        drop_path(spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table through Hadoop's file system, wherever it lies."""
+    if path in _STAGED:
+        _STAGED.remove(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
