@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewake import schemas
-from tidewake.functions import text
+from tidewake.functions import classify, text
 from tidewake.operators import anomalies, gold, quality, sequence, serving, silver, store
 from tidewake.plans import queries as q
 from tidewake.plans import tables as t
@@ -395,6 +395,23 @@ def flags_of_some_days(s, d):
     return found.filter("kind = 'odd_stop' AND model_version = 1").select("mmsi", "kind", "started_at", "score")
 
 
+_WITNESSES = {"known": "minutes_alongside % 5 = 0", "fixes": "n_readings - 3", "harbour": "minutes_alongside % 3 <> 0", "still": "(n_readings - 3) * (minutes_alongside % 4) / 3e0"}
+
+
+@query(
+    "verdict_rules",
+    with_ctes(
+        ["calls"],
+        {"w": f"SELECT mmsi, berth_start, {', '.join(f'{v} AS {k}' for k, v in _WITNESSES.items())} FROM calls"},
+        "SELECT mmsi, berth_start, CASE WHEN known THEN 'confirmed' WHEN fixes < 2 THEN 'too_little_data' WHEN NOT harbour THEN 'not_at_harbour' WHEN still < 0.9e0 * fixes THEN 'moved' ELSE 'confirmed' END AS verdict FROM w",
+    ),
+)
+def verdict_rules(s, d):
+    """All verdicts, from witnesses of every kind."""
+    w = {k: F.expr(v) for k, v in _WITNESSES.items()}
+    return t.calls(s, d).select("mmsi", "berth_start", classify.verdict(w["known"], w["fixes"], w["harbour"], w["still"]).alias("verdict"))
+
+
 @query("track_unique_violations", with_ctes(["readings"], TRACK, "SELECT mmsi, slot_start, 2 AS n FROM track WHERE mmsi % 5 = 0"))
 def track_unique_violations(s, d):
     """The track's key, on a track with some rows twice."""
