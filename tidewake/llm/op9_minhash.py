@@ -160,9 +160,14 @@ def _sketched(docs: DataFrame) -> DataFrame:
     return docs.select(_id(), "text", _print()).mapInArrow(run, "doc_id long, print binary, key binary, bands array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose texts are similar."""
-    held = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
+def _verified(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
+    """The pairs (a, b) of keys, at most ``total``, whose texts are similar.
+
+    A pair's second key may be that of very many pairs: their texts are dealt over several tasks, and the one text goes to each.
+    """
+    rows = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
+    second = texts.select(F.col("key").alias("b"), F.col("text").alias("tb")).join(pairs.groupBy("b").agg(F.count("*").alias("n")), "b")
+    held = spread_join(rows, second, "b", F.xxhash64("a"), total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -271,7 +276,7 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts, texts_at = stage(_texts(docs, wanted), "bucket-texts")
     # Round 1: all members of a bucket against one of them.
     stars = buckets.filter("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
-    links, links_at = stage(_verified(stars, texts), "star-links")
+    links, links_at = stage(_verified(stars, texts, held), "star-links")
     roots = components(links, "star-components")
     # Round 2: buckets that still hold several components; the main one is that of most members.
     known = buckets.select("band", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
