@@ -362,6 +362,8 @@ def test_shards(odd, none, tmp_path, spark):
     for k in by:
         assert sorted(r.slot for r in got if r["shard"] == k) == list(range(by[k]))
     assert all(r.grown_shard is None and r.law == "rows" for r in got) and op7_shards.assign_shards(none).count() == 0
+    op7_shards.write_shards(none.drop("position"), str(tmp_path / "none"), 5)
+    assert not list((tmp_path / "none").glob("shard=*"))
     op7_shards.write_shards(odd.drop("position"), str(tmp_path / "s"), 5)
     assert spark.read.parquet(str(tmp_path / "s")).count() == odd.count()
 
@@ -562,6 +564,8 @@ def test_pipeline_stages(spark):
         assert out.count() <= docs.count()
     kept = op3_quality.judge(docs).filter(F.col("kept")).count()
     assert corpus_pipeline.quality(spark, docs, "").count() == kept
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0, name
 
 
 def test_pipeline_runs_whole(spark, tmp_path):
