@@ -288,8 +288,9 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     more, more_at = stage(_links_to_outliers(left, texts).distinct(), "outlier-links")
     if not more.isEmpty():
         # The components found so far are one node each, so this graph is small.
-        joined = more.join(roots.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b", "left")
-        merged = components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")), "merged-components")
+        total = more.count()
+        joined = _at_roots(_at_roots(more, "a", roots, total), "b", roots, total)
+        merged = components(joined.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "merged-components")
         every, every_at = stage(roots.unionByName(merged.select("key", F.col("key").alias("root"))).distinct(), "all-roots")
         sizes = every.groupBy("root").agg(F.count("*").alias("n"))
         new = merged.select(F.col("key").alias("root"), F.col("root").alias("_r")).join(sizes, "root")
@@ -300,6 +301,13 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return sketch, nodes, roots
 
 
+def _at_roots(links: DataFrame, end: str, roots: DataFrame, total: int) -> DataFrame:
+    """``links`` (a, b) with root_a or root_b, the root of that end: itself where it has none.  An end may have very many links."""
+    ends = links.groupBy(end).agg(F.count("*").alias("n"))
+    known = ends.join(roots.select(F.col("key").alias(end), "root"), end, "left").select(end, "n", F.coalesce("root", end).alias(f"root_{end}"))
+    return spread_join(links, known, end, F.xxhash64("a", "b"), total)
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, text of the wanted rows (key, doc_id, print)."""
     own = docs.select(_id(), "text", _print()).alias("d")
