@@ -52,7 +52,7 @@ def staged(batch: DataFrame, as_of: datetime, silver: DataFrame | None = None) -
     """``batch`` with rejection_reason.
 
     Copies of (mmsi, msgtime) are ranked before anything is validated, null keys as one group; ``silver`` has
-    the keys accepted before, of which those within the batch's times are looked at.  One shuffle by the key serves ranking and
+    the keys known from before (mmsi, message_time), of which those within the batch's times are looked at.  One shuffle by the key serves ranking and
     look-up; rows without a whole key, which may be many, are first ranked in parts.
     """
     tie = F.concat_ws("|", *[F.col(c).cast("string") for c in ("latitude", "longitude", "speedOverGround", "courseOverGround", "navigationalStatus", "name")])
